@@ -10,12 +10,17 @@ Arrow UDF that builds a small tree and evaluates this subset of XPath:
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import sys
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Send this module along with the UDF, so executors need no installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Elements that never have content, and elements an opening tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -92,8 +97,7 @@ _PREDICATE = re.compile(
     r"|contains\(\s*@(?P<cname>[\w:-]+)\s*,\s*(?P<cq>[\"'])(?P<part>.*?)(?P=cq)\s*\))\s*\]")
 
 
-@lru_cache(maxsize=4096)
-def compile_path(path: str) -> tuple:
+def compile_path(path: str) -> list:
     """Steps of a path as (any depth, node test, predicates); rejects what lies outside the
     subset."""
     steps, end = [], 0
@@ -105,7 +109,7 @@ def compile_path(path: str) -> tuple:
         steps.append((step[1] == "//", step[2], [test.groupdict() for test in tests]))
     if not path or end != len(path):
         raise ValueError(f"unsupported path: {path!r}")
-    return tuple(steps)
+    return steps
 
 
 def _keeps(test: dict, node: Node, position: int, size: int) -> bool:
@@ -142,10 +146,10 @@ def _children(node: Node, test: str, predicates: list) -> list:
     return found
 
 
-def select(scope: Node, path: str) -> list:
-    """Nodes (or attribute values) a path selects, in document order."""
+def select(scope: Node, steps: list) -> list:
+    """Nodes (or attribute values) a compiled path selects, in document order."""
     context = [scope]
-    for deep, test, predicates in compile_path(path):
+    for deep, test, predicates in steps:
         if deep:
             reached = {node.order: node for top in context for node in _self_and_below(top)}
             context = [reached[order] for order in sorted(reached)]
@@ -157,26 +161,35 @@ def select(scope: Node, path: str) -> list:
     return context
 
 
-def _texts(root: Node, scope: Node, path: str) -> list[str]:
-    found = select(root if path.startswith("/") else scope, path)
+def texts(root: Node, scope: Node, path: str, steps: list) -> list[str]:
+    """Texts and attribute values; a path from "/" starts at the page, any other at scope."""
+    found = select(root if path.startswith("/") else scope, steps)
     return [each if isinstance(each, str) else each.text
             for each in found if isinstance(each, str) or each.tag is None]
 
 
-_RECORDS = pa.list_(pa.list_(pa.list_(pa.string())))
+_ARROW_RECORDS = pa.list_(pa.list_(pa.list_(pa.string())))
+_RECORDS = T.ArrayType(T.ArrayType(T.ArrayType(T.StringType())))
 
 
-@F.arrow_udf("array<array<array<string>>>")
+@F.arrow_udf(_RECORDS)
 def _records(html: pa.Array, scope: pa.Array, paths: pa.Array) -> pa.Array:
-    rows = []
+    rows, compiled = [], {}
+
+    def steps(path):
+        if path not in compiled:
+            compiled[path] = compile_path(path)
+        return compiled[path]
+
     for page, record, wanted in zip(html.to_pylist(), scope.to_pylist(), paths.to_pylist()):
         if page is None or wanted is None:
             rows.append(None)
             continue
         root = tree(page)
-        scopes = [root] if record is None else select(root, record)
-        rows.append([[_texts(root, node, path) for path in wanted] for node in scopes])
-    return pa.array(rows, type=_RECORDS)
+        scopes = [root] if record is None else select(root, steps(record))
+        rows.append([[texts(root, node, path, steps(path)) for path in wanted]
+                     for node in scopes])
+    return pa.array(rows, type=_ARROW_RECORDS)
 
 
 def select_texts(html: Column, paths: Column) -> Column:

@@ -11,7 +11,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-_SPACE_RUN = f"[{WHITESPACE}]+"
+# The same set as a pattern: character classes match several times faster than the list.
+_SPACE_RUN = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 # Fixed value: what counts as a number in scraped text.
 NUMBER_PATTERN = "[,.0-9]+"

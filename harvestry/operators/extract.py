@@ -36,16 +36,6 @@ LIST_ENTRY = "//li"
 LIST_RULES = {"heading": ".//h3/text()", "info": './/div[@class="info"]/text()'}
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Give page parsing at least one partition per task slot; for tables as read.
-
-    A large archive has more scan partitions than slots and passes unchanged; only an
-    archive of a few files pays for a shuffle.
-    """
-    slots = pages.sparkSession.sparkContext.defaultParallelism
-    return pages if pages.rdd.getNumPartitions() >= slots else pages.repartition(slots)
-
-
 def select_fields(pages: DataFrame, rules: dict[str, str], html: str = "html") -> DataFrame:
     """Replace ``html`` by one array<string> column per rule, all from a single parse."""
     for path in rules.values():
@@ -123,8 +113,8 @@ def _claim(found: DataFrame, hrefs: list[Column]) -> DataFrame:
         links = F.transform(links, lambda href: urls.join_url(F.col("url"), href))
         fresh = F.array_distinct(links) if claimed is None else F.array_except(links, claimed)
         claimed = links if claimed is None else F.concat(claimed, links)
-        groups.append(F.transform(fresh, lambda link, rule=rule: F.struct(
-            F.lit(rule).alias("rule"), link.alias("link"))))
+        number = F.lit(rule).alias("rule")
+        groups.append(F.transform(fresh, lambda link: F.struct(number, link.alias("link"))))
     return (found.withColumn("_links", F.concat(*groups))
             .select("*", F.inline("_links")).drop("_links"))
 

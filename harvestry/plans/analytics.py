@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestry.operators import boost
 from harvestry.plans.registry import query, table, to6
+from harvestry.session import spread
 
 
 def part_items(spark, sf_dir) -> DataFrame:
@@ -17,7 +18,8 @@ def part_items(spark, sf_dir) -> DataFrame:
 
 def document_items(spark, sf_dir) -> DataFrame:
     """Documents as titles, their length as the price."""
-    return table(spark, sf_dir, "documents").select(
+    documents = spread(table(spark, sf_dir, "documents").select("text", "n_chars"))
+    return documents.select(
         F.array("text").alias("title"), F.array(F.col("n_chars").cast("double")).alias("price"))
 
 

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from harvestry.plans import analytics  # noqa: F401
+from harvestry.plans import analytics, extraction  # noqa: F401
 from harvestry.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

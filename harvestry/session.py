@@ -58,3 +58,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so later steps neither recompute nor re-sample it."""
     shared_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per task slot, for CPU-heavy work on a table as read.
+
+    A large table has more scan partitions than slots and passes unchanged; only a table of
+    a few files pays for a shuffle. Select the needed columns first.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots)
