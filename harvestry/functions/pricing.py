@@ -21,8 +21,37 @@ def surcharge(price: Column) -> Column:
     return price + F.lit(SURCHARGE)
 
 
+def six_digits(y: Column) -> Column:
+    """A non-integral positive number rounded to six significant digits as C's "%.6g" does:
+    by its exact binary value, ties to even. (``format_string`` rounds the shortest decimal
+    form half up, which differs on ties.)
+    """
+    whole = F.floor(y)
+    digits = F.length(whole.cast("string"))
+
+    # At least six digits before the point: round to a multiple of ``unit``.
+    unit = F.pow(F.lit(10.0), digits - 6).cast("long")
+    multiple = F.floor(whole / unit)
+    rest = (y - multiple * unit) * 2
+    multiple_up = (rest > unit) | ((rest == unit) & (multiple % 2 == 1))
+    large = (multiple + multiple_up.cast("long")) * unit
+
+    # Fewer: a number from 1 has at most 52 binary places, so its fraction times 2**52 is an
+    # exact integer and decimals carry the rest without loss.
+    scale = F.pow(F.lit(10.0), 6 - digits).cast("long")
+    binary = F.lit(2**52).cast("decimal(17,0)")
+    parts = ((y - whole) * float(2**52)).cast("decimal(17,0)") * scale.cast("decimal(7,0)")
+    places = F.floor(parts / binary).cast("long")
+    left = (parts - places.cast("decimal(7,0)") * binary) * 2
+    places_up = (left > binary) | ((left == binary) & (places % 2 == 1))
+    small = (whole * scale + places + places_up.cast("long")) / scale
+
+    return (F.when(y < 1, F.format_string("%.6g", y).cast("double"))
+            .when(digits >= 6, large.cast("double")).otherwise(small))
+
+
 def legacy_price(price: Column) -> Column:
     """The price as the legacy tool prints it: input to 6 decimals, times 1.2, then an
     integral result in full and any other with six significant digits."""
     y = F.lit(LEGACY_FACTOR) * F.round(price, 6)
-    return F.when(y == F.floor(y), y).otherwise(F.format_string("%.6g", y).cast("double"))
+    return F.when(y == F.floor(y), y).otherwise(six_digits(y))

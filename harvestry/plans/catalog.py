@@ -1,6 +1,7 @@
 """All registered queries."""
 
-from harvestry.plans import analytics, extraction  # noqa: F401
+from harvestry.plans import (  # noqa: F401
+    analytics, enrichment, extraction, frontier, items, monitoring, streams)
 from harvestry.plans.registry import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
