@@ -192,6 +192,11 @@ def _records(html: pa.Array, scope: pa.Array, paths: pa.Array) -> pa.Array:
     return pa.array(rows, type=_ARROW_RECORDS)
 
 
+# Pages are parsed once: the optimizer may not copy a non-deterministic UDF into the filters
+# it infers for generators, nor move it below a repartitioning.
+_records = _records.asNondeterministic()
+
+
 def select_texts(html: Column, paths: Column) -> Column:
     """array<array<string>>: for each path, the texts or attribute values it selects."""
     return F.get(_records(html, F.lit(None).cast("string"), paths), F.lit(0))

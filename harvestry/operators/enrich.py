@@ -65,11 +65,11 @@ def settle_replies(replies: DataFrame, retry: bool = True) -> DataFrame:
     With ``retry`` over-quota replies are counted and the first other one is final, success
     or not; without, the first reply is final.
     """
-    reply = F.from_json("body", GEOCODE)
+    reply = F.col("_reply")
     point = F.get(reply["results"], F.lit(0))["geometry"]["location"]
-    parsed = replies.select(
+    parsed = replies.withColumn("_reply", F.from_json("body", GEOCODE)).select(
         "address", "attempt", (reply["status"] == QUOTA).alias("over"),
-        F.when(reply["status"] == "OK",
+        F.when((reply["status"] == "OK") & point.isNotNull(),
                F.struct(point["lat"].alias("lat"), point["lng"].alias("lon"))).alias("point"))
     over = F.coalesce("over", F.lit(False))
     final = F.when(~over, F.col("attempt")) if retry else F.col("attempt")
@@ -127,8 +127,11 @@ def translate(items: DataFrame, text: Column, calculated: bool = False,
 
 
 def add_surcharge(items: DataFrame) -> DataFrame:
-    return items.withColumn("price", pricing.on_first(F.col("price"), pricing.surcharge))
+    first = pricing.surcharge(pricing.first(F.col("price")))
+    return items.withColumn("price", pricing.with_first(F.col("price"), first))
 
 
 def legacy_pricing(items: DataFrame) -> DataFrame:
-    return items.withColumn("price", pricing.on_first(F.col("price"), pricing.legacy_price))
+    priced = pricing.legacy_price(items.withColumn("_x", pricing.first(F.col("price"))), "_x")
+    return (priced.withColumn("price", pricing.with_first(F.col("price"), F.col("_x")))
+            .drop("_x"))

@@ -115,8 +115,10 @@ def _claim(found: DataFrame, hrefs: list[Column]) -> DataFrame:
         claimed = links if claimed is None else F.concat(claimed, links)
         number = F.lit(rule).alias("rule")
         groups.append(F.transform(fresh, lambda link: F.struct(number, link.alias("link"))))
+    # "outer" and a filter: a plain generator infers a filter that repeats the matching.
     return (found.withColumn("_links", F.concat(*groups))
-            .select("*", F.inline("_links")).drop("_links"))
+            .select("*", F.inline_outer("_links")).drop("_links")
+            .filter(F.col("rule").isNotNull()))
 
 
 # An anchor with a double-quoted link.
@@ -128,6 +130,12 @@ def anchor_hrefs(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(ANCHOR_HREF), 1)
 
 
+def page_anchors(pages: DataFrame) -> DataFrame:
+    """(…, pos, href) for every anchor, matched by pattern inside the JVM."""
+    return (pages.select("*", F.posexplode_outer(anchor_hrefs(F.col("html")))
+                         .alias("pos", "href")).drop("html").filter(F.col("pos").isNotNull()))
+
+
 def anchors_by_region(pages: DataFrame, regions: list[str | None]) -> DataFrame:
     """Like :func:`page_links` for regions given as tag names (None: the whole page),
     matched by pattern inside the JVM."""

@@ -41,8 +41,7 @@ def job_status(replies: DataFrame, wanted: DataFrame | None = None) -> DataFrame
     requested ones."""
     if wanted is not None:
         replies = replies.join(wanted.select("target"), "target", "left_semi")
-    counted = replies.filter(F.col("code") == 200).select(
-        "target", *[n.cast("long").alias(state) for state, n in job_counts(F.col("body")).items()])
+    counted = job_counts(replies.filter(F.col("code") == 200).select("target", "body"))
     line = F.format_string("%-20s running: %d, finished: %d, pending: %d", "target", *STATES)
     return counted.withColumn("line", line).orderBy("target")
 

@@ -9,7 +9,7 @@ from harvestry.operators import extract
 from harvestry.operators.frontier import allowed
 from harvestry.plans import site
 from harvestry.plans.registry import query, table
-from harvestry.session import spread
+from harvestry.session import by_key, spread
 from harvestry.sources.documents import index_entries
 from harvestry.sources.generate import seed_pages as split_seeds
 
@@ -54,8 +54,7 @@ def page_fields(spark, sf_dir):
       FROM pages))""")
 def page_links(spark, sf_dir):
     """All anchors of a page by pattern, inside the JVM."""
-    found = table(spark, sf_dir, "pages").select(
-        "page_id", "url", F.posexplode(extract.anchor_hrefs(F.col("html"))).alias("pos", "href"))
+    found = extract.page_anchors(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", F.col("pos").cast("long").alias("pos"), "href",
                         urls.join_url(F.col("url"), F.col("href")).alias("link"))
 
@@ -189,7 +188,7 @@ def api_index(spark, sf_dir):
         F.to_json(F.collect_list(entry)).alias("body"))
     requests = index_entries(indexes, site.BASE).select("url", F.col("title").alias("carried"))
     pages = site.detail_pages(spark, sf_dir).drop("p_partkey")
-    items = extract.detail_items(pages.join(requests, "url"))
+    items = extract.detail_items(by_key(pages, "url").join(by_key(requests, "url"), "url"))
     title = text.title_case(text.strip(F.col("carried")))
     return items.select(F.get("url", F.lit(0)).alias("url"), title.alias("title"),
                         F.get("price", F.lit(0)).alias("price"))

@@ -150,8 +150,9 @@ def frontier_order(spark, sf_dir):
                           WHEN k % 10 = 3 THEN 'operation error' END AS problem
     FROM (SELECT event_id, event_type, CAST(props::JSON->>'k' AS INTEGER) AS k FROM events)""")
 def dispatch_triage(spark, sf_dir):
-    k = F.get_json_object("props", "$.k").cast("int")
-    replies = table(spark, sf_dir, "events").select(
+    k = F.col("_k")
+    replies = table(spark, sf_dir, "events").withColumn(
+        "_k", F.get_json_object("props", "$.k").cast("int")).select(
         "event_id", (F.col("event_type") != "error").alias("sent"),
         F.when(k >= 80, 400 + k).otherwise(200).alias("code"),
         F.when(k % 10 == 3, "error").otherwise("ok").alias("status"))

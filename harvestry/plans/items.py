@@ -9,7 +9,7 @@ from harvestry.operators import enrich
 from harvestry.operators import items as ops
 from harvestry.plans.registry import query, table, to6
 from harvestry.schemas import CORRUPT
-from harvestry.session import scratch_path
+from harvestry.session import scratch_path, spread
 from harvestry.sinks import rows
 from harvestry.sources.files import read_items
 
@@ -156,21 +156,22 @@ _PREFIX = "http://web:9312/" + "long-path/" * 8  # with a key of 5 or more digit
     WHERE r = 1""")
 def upsert_rows(spark, sf_dir):
     """Line items replace the parts' rows by cut URL, the latest version winning."""
-    def items(name, key, title, price, description, seq):
-        return table(spark, sf_dir, name).select(
+    def items(source, key, title, price, description, seq):
+        return source.select(
             F.array(F.concat(F.lit(_PREFIX), F.col(key).cast("string"))).alias("url"),
             F.array(title).alias("title"), F.array(price).alias("price"),
             F.array(description).alias("description"), seq.alias("seq"))
 
     new = items(
-        "lineitem", "l_partkey",
+        spread(table(spark, sf_dir, "lineitem").drop("l_suppkey", "l_quantity", "l_discount",
+                                                     "l_tax", "l_shipdate")), "l_partkey",
         F.concat(F.lit("order "), F.col("l_orderkey").cast("string"), F.lit(" of line "),
                  F.col("l_linenumber").cast("string"), F.lit(" in all its length")),
         F.col("l_extendedprice"),
         F.concat("l_returnflag", F.lit("\r\n"), "l_linestatus",
                  F.lit("\r\nkept until the ship date")),
         F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    old = items("part", "p_partkey", F.col("p_name"), F.col("p_retailprice"), F.col("p_type"),
+    old = items(table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"), F.col("p_retailprice"), F.col("p_type"),
                 F.lit(-1).cast("long"))
     return rows.upsert(rows.upsert_rows(old).drop("seq"), rows.upsert_rows(new))
 

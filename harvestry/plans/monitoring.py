@@ -14,7 +14,8 @@ HOUR, MINUTE = 3600, 60
 def with_lifecycle(events: DataFrame) -> DataFrame:
     """Events as item lifecycles: scheduled at ``ts``, received k seconds later (from the
     JSON properties), scraped ``value`` seconds after that, of a size of 1000 + k bytes."""
-    k = F.get_json_object("props", "$.k").cast("long")
+    events = events.withColumn("_k", F.get_json_object("props", "$.k").cast("long"))
+    k = F.col("_k")
 
     def later(seconds):
         return (F.col("ts").cast("timestamp")
@@ -137,7 +138,9 @@ def rate_violations(spark, sf_dir):
 def job_status(spark, sf_dir):
     """Status replies, one per event: job lists sized by the properties, the pending list
     missing where it would be empty, errors answered with code 500."""
-    k = F.get_json_object("props", "$.k").cast("int")
+    events = table(spark, sf_dir, "events").withColumn(
+        "_k", F.get_json_object("props", "$.k").cast("int"))
+    k = F.col("_k")
 
     def jobs(n):
         return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
@@ -147,7 +150,7 @@ def job_status(spark, sf_dir):
         empty = F.array().cast("array<struct<id:string>>")
         return F.when(n > 0, jobs(F.greatest(n, F.lit(1)))).otherwise(empty)
 
-    replies = table(spark, sf_dir, "events").select(
+    replies = events.select(
         F.concat(F.lit("target"), F.col("event_id").cast("string")).alias("target"),
         F.when(F.col("event_type") == "error", 500).otherwise(200).alias("code"),
         F.to_json(F.struct(

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.plans.registry import table
-from harvestry.session import spread
+from harvestry.session import by_key, spread
 from harvestry.sources.generate import index_url, property_url
 
 BASE = "http://web:9312/properties/"
@@ -68,8 +68,8 @@ def index_pages(spark, sf_dir) -> DataFrame:
     html = _joined(
         '<html><body><a class="link next" href="', index_url("", F.col("page") + 1),
         '">Next</a><ul>', F.col("cards"), "</ul>")
-    return (parts(spark, sf_dir).select(page.alias("page"), "p_partkey", _card().alias("card"))
-            .groupBy("page").agg(cards.alias("cards"))
+    cards_of = parts(spark, sf_dir).select(page.alias("page"), "p_partkey", _card().alias("card"))
+    return (by_key(cards_of, "page").groupBy("page").agg(cards.alias("cards"))
             .select("page", index_url(BASE, F.col("page")).alias("url"), html.alias("html")))
 
 
@@ -82,10 +82,9 @@ def list_pages(spark, sf_dir) -> DataFrame:
                     "</div>")
     entries = F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("p_partkey", "entry"))), lambda e: e["entry"]), "")
-    return (parts(spark, sf_dir)
-            .select(F.expr(f"p_partkey div {PER_LIST}").alias("page"), "p_partkey",
-                    entry.alias("entry"))
-            .groupBy("page").agg(entries.alias("entries"))
+    entries_of = parts(spark, sf_dir).select(
+        F.expr(f"p_partkey div {PER_LIST}").alias("page"), "p_partkey", entry.alias("entry"))
+    return (by_key(entries_of, "page").groupBy("page").agg(entries.alias("entries"))
             .select("page", _joined(BASE + "detail?id0=", F.col("page").cast("string"))
                     .alias("url"),
                     _joined("<html><body><ul>", F.col("entries"), "</ul>").alias("html")))

@@ -60,6 +60,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition into the configured number of partitions, also where they are small:
+    adaptive coalescing goes by bytes and would leave CPU-heavy work to a few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """At least one partition per task slot, for CPU-heavy work on a table as read.
 

@@ -36,11 +36,13 @@ def cached_location(value: Column) -> Column:
     return F.when(value != "", F.from_json(value, LOCATION))
 
 
-def job_counts(body: Column) -> dict[str, Column]:
-    """How many jobs a status document lists per state; a missing list counts 0."""
-    status = F.from_json(body, JOB_STATUS)
-    return {state: F.size(F.coalesce(status[state], F.array()))
-            for state in JOB_STATUS.fieldNames()}
+def job_counts(replies: DataFrame, body: str = "body") -> DataFrame:
+    """Replace the status document by the number of jobs it lists per state; a missing list
+    counts 0."""
+    empty = F.array().cast(JOB_STATUS["running"].dataType)
+    return (replies.withColumn("_status", F.from_json(F.col(body), JOB_STATUS)).drop(body)
+            .withColumns({state: F.size(F.coalesce(f"_status.{state}", empty)).cast("long")
+                          for state in JOB_STATUS.fieldNames()}).drop("_status"))
 
 
 def worker_urls(batches: DataFrame, rule: int, urls: str = "urls") -> DataFrame:
