@@ -67,15 +67,19 @@ def settle_replies(replies: DataFrame, retry: bool = True) -> DataFrame:
     """
     reply = F.col("_reply")
     point = F.get(reply["results"], F.lit(0))["geometry"]["location"]
+    good = reply["status"] == "OK"
     parsed = replies.withColumn("_reply", F.from_json("body", GEOCODE)).select(
         "address", "attempt", (reply["status"] == QUOTA).alias("over"),
-        F.when((reply["status"] == "OK") & point.isNotNull(),
-               F.struct(point["lat"].alias("lat"), point["lng"].alias("lon"))).alias("point"))
+        F.when(good, point["lat"]).alias("lat"), F.when(good, point["lng"]).alias("lon"))
     over = F.coalesce("over", F.lit(False))
     final = F.when(~over, F.col("attempt")) if retry else F.col("attempt")
-    return parsed.groupBy("address").agg(
-        F.min_by("point", final).alias("found"),
+    # Numbers, not a struct: these aggregate by hash, without sorting all replies.
+    settled = parsed.groupBy("address").agg(
+        F.min_by("lat", final).alias("lat"), F.min_by("lon", final).alias("lon"),
         (F.count_if(over) if retry else F.lit(0).cast("long")).alias("retries"))
+    return settled.select(
+        "address", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(),
+                          F.struct("lat", "lon")).alias("found"), "retries")
 
 
 def from_replies(items: DataFrame, settled: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.session import cut_lineage
+from harvestry.session import by_key, cut_lineage
 
 _BLOCK = 4096  # ticks numbered or summed together
 
@@ -48,9 +48,9 @@ def interval_rates(sums: DataFrame, seconds: int) -> DataFrame:
 
 def _ticks(bounds: DataFrame) -> DataFrame:
     """All integers from ``lo`` to ``hi`` of a one-row frame, as ``tick``, made block-wise so
-    that no array grows with the span."""
-    blocks = bounds.filter("lo IS NOT NULL").select(
-        "lo", "hi", F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("first"))
+    that neither an array nor a task grows with the span."""
+    blocks = by_key(bounds.filter("lo IS NOT NULL").select(
+        "lo", "hi", F.explode(F.sequence("lo", "hi", F.lit(_BLOCK))).alias("first")), "first")
     last = F.least("hi", F.col("first") + (_BLOCK - 1))
     return blocks.select(F.explode(F.sequence("first", last)).alias("tick"))
 
@@ -132,6 +132,15 @@ def gauges(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
                     (F.col("carried") + F.sum("change").over(inside)).alias("value")))
 
 
+def gauge_table(values: DataFrame, wanted: list[Gauge]) -> DataFrame:
+    """One row per tick with a column per gauge, and the sample as a log ``line``."""
+    names = [gauge.name for gauge in wanted]
+    wide = values.groupBy("tick").agg(
+        *[F.max(F.when(F.col("gauge") == name, F.col("value"))).alias(name) for name in names])
+    return wide.withColumn("line", F.format_string(
+        "%8d" * (len(names) - 1) + "%10d", *names))
+
+
 def rate_violations(calls: DataFrame, key: str, ts: str, limit: int,
                     seconds: int = 1) -> DataFrame:
     """(key, start, calls) of the intervals with more than ``limit`` calls."""

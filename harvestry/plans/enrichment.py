@@ -97,7 +97,8 @@ def cache_merge(spark, sf_dir):
     SELECT c_name AS address, CAST(a AS INTEGER) AS attempt,
            CASE WHEN a < n - 1 THEN 'OVER_QUERY_LIMIT'
                 WHEN c_mktsegment = 'MACHINERY' THEN 'ZERO_RESULTS' ELSE 'OK' END AS status,
-           CASE WHEN a = n - 1 AND c_mktsegment <> 'MACHINERY' THEN c_nationkey * 1.5 END AS lat,
+           CASE WHEN a = n - 1 AND c_mktsegment <> 'MACHINERY'
+                THEN CAST(c_nationkey * 1.5 AS DOUBLE) END AS lat,
            CASE WHEN a = n - 1 AND c_mktsegment <> 'MACHINERY' THEN c_acctbal END AS lon
     FROM (SELECT *, unnest(range(n)) AS a FROM tries)""")
 def geo_parse(spark, sf_dir):

@@ -9,8 +9,9 @@ from harvestry.operators import extract
 from harvestry.operators.frontier import allowed
 from harvestry.plans import site
 from harvestry.plans.registry import query, table
-from harvestry.session import by_key, spread
+from harvestry.session import by_key, scratch_path, spread
 from harvestry.sources.documents import index_entries
+from harvestry.sources.files import read_rules
 from harvestry.sources.generate import seed_pages as split_seeds
 
 # The entities the archived pages use, in SQL.
@@ -166,12 +167,15 @@ def page_list_items(spark, sf_dir):
                    '&amp;', '&') AS value
     FROM (SELECT url, field, v, unnest(range(1, len(v) + 1)) AS pos FROM found)""")
 def extract_rules(spark, sf_dir):
-    """A rule table with blank cells applied to the pages it names, in long form."""
+    """A CSV rule table with blank cells applied to the pages it names, in long form."""
     pages = table(spark, sf_dir, "pages")
-    rules = pages.select(
+    path = scratch_path(spark, "rules")
+    pages.select(
         "url", F.lit("//title/text()").alias("name"),
-        F.when(F.startswith("url", F.lit("http:")), "").otherwise("//nav//li/a/text()")
-        .alias("price"))
+        F.when(F.startswith("url", F.lit("http:")), "")
+        .otherwise('//nav//li/a[@href][1]/text()').alias("price"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    rules = read_rules(spark, path)
     return extract.rule_values(extract.rule_items(archive(spark, sf_dir), rules))
 
 

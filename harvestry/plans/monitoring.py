@@ -94,7 +94,7 @@ def _gauge_sql(name: str, moment: str, amount: str) -> str:
             f"{amount} AS change FROM lives")
 
 
-@query(f"""WITH {LIVES_SQL},
+INFLIGHT_SQL = f"""WITH {LIVES_SQL},
     changes AS ({' UNION ALL '.join([
         _gauge_sql('scheduled', 'sched', '1'), _gauge_sql('scheduled', 'recv', '-1'),
         _gauge_sql('scraping', 'recv', '1'), _gauge_sql('scraping', 'scraped', '-1'),
@@ -105,12 +105,26 @@ def _gauge_sql(name: str, moment: str, amount: str) -> str:
     dense AS (SELECT g.gauge, t.tick FROM ticks t, (SELECT DISTINCT gauge FROM changes) g)
     SELECT tick, gauge, CAST(sum(coalesce(change, 0)) OVER (
              PARTITION BY gauge ORDER BY tick) AS BIGINT) AS value
-    FROM dense LEFT JOIN per_tick USING (gauge, tick)""")
+    FROM dense LEFT JOIN per_tick USING (gauge, tick)"""
+
+
+@query(INFLIGHT_SQL)
 def inflight_gauges(spark, sf_dir):
     """What was in flight at every full minute."""
     return metrics.gauges(lifecycles(spark, sf_dir), GAUGES, MINUTE)
 
 
+@query(f"""
+    SELECT tick, format('{{:8d}}{{:8d}}{{:8d}}{{:10d}}',
+             max(value) FILTER (gauge = 'scheduled'), max(value) FILTER (gauge = 'scraping'),
+             max(value) FILTER (gauge = 'done'), max(value) FILTER (gauge = 'bytes')) AS line
+    FROM ({INFLIGHT_SQL}) GROUP BY tick""")
+def gauge_lines(spark, sf_dir):
+    """The samples as log lines."""
+    samples = metrics.gauges(lifecycles(spark, sf_dir), GAUGES, MINUTE)
+    return metrics.gauge_table(samples, GAUGES).select("tick", "line")
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def signal_counts(spark, sf_dir):
     return metrics.signal_counts(table(spark, sf_dir, "events"))

@@ -5,10 +5,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from harvestry.schemas import CORRUPT, ITEM
 
+# A section with its lines, and a "key = value" or "key: value" line.
+_SECTION = r"(?m)^\[([^\]\r\n]+)\][^\r\n]*((?:\R(?!\[).*)*)"
+_SETTING = r"(?m)^([^#;=:\s][^=:\r\n]*)[=:]([^\r\n]*)$"
+
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType = ITEM,
                strict: bool = False) -> DataFrame:
@@ -37,6 +42,19 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
             .option("inferSchema", False).csv(path))
 
 
+def read_settings(spark: SparkSession, path: str) -> DataFrame:
+    """A sectioned settings file as (section, key, value); comment lines are skipped."""
+    text = spark.read.text(path, wholetext=True)
+    sections = text.select(F.inline(F.arrays_zip(
+        F.regexp_extract_all("value", F.lit(_SECTION), 1).alias("section"),
+        F.regexp_extract_all("value", F.lit(_SECTION), 2).alias("body"))))
+    lines = sections.select("section", F.inline(F.arrays_zip(
+        F.regexp_extract_all("body", F.lit(_SETTING), 1).alias("key"),
+        F.regexp_extract_all("body", F.lit(_SETTING), 2).alias("value"))))
+    return lines.select("section", F.lower(F.trim("key")).alias("key"),
+                        F.trim("value").alias("value"))
+
+
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,
                  files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table as a stream; the table may be a folder or a single file."""

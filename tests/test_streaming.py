@@ -45,6 +45,9 @@ def test_state_runs_over_batches(spark, tmp_path):
     run_boost(spark, tmp_path)
     assert shifts(spark, tmp_path, 0) == AFTER_A
     assert shifts(spark, tmp_path, 1) == AFTER_B
+    report = spark.read.parquet(str(tmp_path / "out" / "report" / "batch_id=1"))
+    assert [r.word for r in report.orderBy("line").collect()] == [
+        "need", "business", "split", "need", "business", "split"]
 
 
 def test_restart_goes_on_from_the_checkpoint(spark, tmp_path):
