@@ -151,16 +151,23 @@ def select(scope: Node, steps: list) -> list:
     context = [scope]
     for deep, test, predicates in steps:
         if deep:
-            reached = {node.order: node for top in context for node in _self_and_below(top)}
-            context = [reached[order] for order in sorted(reached)]
+            context = _in_order([node for top in context for node in _self_and_below(top)],
+                                len(context) == 1)
         if test.startswith("@"):
             return [node.attrs[test[1:]] for node in context if test[1:] in node.attrs]
-        found = {node.order: node
-                 for top in context for node in _children(top, test, predicates)}
-        context = [found[order] for order in sorted(found)]
+        context = _in_order([node for top in context
+                             for node in _children(top, test, predicates)], len(context) == 1)
     return context
 
 
+def _in_order(nodes: list, ordered: bool) -> list:
+    """Distinct nodes in document order, which nodes found from a single one already are."""
+    if ordered or len(nodes) < 2:
+        return nodes
+    distinct = {node.order: node for node in nodes}
+    return [distinct[order] for order in sorted(distinct)]
+
+
 def texts(root: Node, scope: Node, path: str, steps: list) -> list[str]:
     """Texts and attribute values; a path from "/" starts at the page, any other at scope."""
     found = select(root if path.startswith("/") else scope, steps)

@@ -65,17 +65,20 @@ def load_item(fields: DataFrame, page_url: str, own_url: bool = True) -> DataFra
     base = F.col(page_url)
 
     def absolute(field: str) -> Column:
-        return text.none_if_empty(text.each(F.col(field), lambda href: urls.join_url(base, href)))
+        return text.each(F.col(field), lambda href: urls.join_url(base, href))
 
-    url = F.array(base) if own_url else absolute("url")
-    return fields.withColumns({
-        "title": text.none_if_empty(text.each(F.col("title"), text.strip, text.title_case)),
-        "price": text.none_if_empty(text.numbers(F.col("price"))),
+    processed = fields.withColumns({
+        "title": text.each(F.col("title"), text.strip, text.title_case),
+        "price": text.numbers(F.col("price")),
         "description": F.array(F.array_join(text.each(F.col("description"), text.strip), " ")),
-        "address": text.none_if_empty(text.each(F.col("address"), text.strip)),
+        "address": text.each(F.col("address"), text.strip),
         "image_urls": absolute("image_urls"),
-        "url": url,
+        "url": F.array(base) if own_url else absolute("url"),
     })
+    # A step of its own: the test for emptiness must not process the values again.
+    return processed.withColumns({
+        field: text.none_if_empty(F.col(field))
+        for field in ("title", "price", "address", "image_urls", "url")})
 
 
 def detail_items(pages: DataFrame) -> DataFrame:

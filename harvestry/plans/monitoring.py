@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestry.operators import metrics, status
 from harvestry.plans.registry import query, stamp, table, to6
+from harvestry.session import spread
 
 HOUR, MINUTE = 3600, 60
 
@@ -152,7 +153,8 @@ def rate_violations(spark, sf_dir):
 def job_status(spark, sf_dir):
     """Status replies, one per event: job lists sized by the properties, the pending list
     missing where it would be empty, errors answered with code 500."""
-    events = table(spark, sf_dir, "events").withColumn(
+    events = spread(table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "props")).withColumn(
         "_k", F.get_json_object("props", "$.k").cast("int"))
     k = F.col("_k")
 

@@ -10,6 +10,7 @@ from harvestry.plans import site
 from harvestry.plans.extraction import _TITLE
 from harvestry.plans.items import legacy_sql
 from harvestry.plans.registry import query
+from harvestry.session import store
 from harvestry.sinks import rows
 
 _STREETS = """
@@ -28,8 +29,8 @@ def streets(spark, sf_dir):
 
 
 def finished_items(spark, sf_dir):
-    """Property pages through extraction and all stages. Every third street is cached; the
-    replies do not know every seventh."""
+    """Property pages through extraction and all stages, stored once for all sinks. Every
+    third street is cached; the replies do not know every seventh."""
     known = streets(spark, sf_dir)
     size = F.col("p_size").cast("double")
     cache = known.filter("p_size % 3 = 0").select(
@@ -46,13 +47,14 @@ def finished_items(spark, sf_dir):
     items = with_lineage(extract.detail_items(pages), "properties", "easy", "web1",
                          F.lit("2016-01-02 03:04:05").cast("timestamp_ntz"))
     location = F.lit(None).cast("struct<lat:double,lon:double>")
-    return run_stages(items.withColumn("location", location), [
+    finished = run_stages(items.withColumn("location", location), [
         (100, tidy_dates),
         (300, lambda frame: enrich.from_cache(frame, cache)),
         (400, lambda frame: enrich.from_replies(frame, settled)),
         (500, enrich.add_surcharge),
         (600, enrich.legacy_pricing),
     ])
+    return store(finished, "items")
 
 
 @query(f"""

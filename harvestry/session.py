@@ -60,6 +60,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read that: for results several sinks
+    use, each reading only its columns."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition into the configured number of partitions, also where they are small:
     adaptive coalescing goes by bytes and would leave CPU-heavy work to a few tasks."""

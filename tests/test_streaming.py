@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,8 +18,11 @@ B = {"title": ["Need business"], "price": [2.0]}
 
 
 def put(folder, name, *items):
+    """Write a feed file, a second newer than the ones before: streams go by file time."""
     folder.mkdir(exist_ok=True)
+    newest = 1500000000 + len(list(folder.iterdir()))
     (folder / name).write_text("".join(json.dumps(item) + "\n" for item in items))
+    os.utime(folder / name, (newest, newest))
 
 
 def run_boost(spark, root, files_per_trigger=1):
