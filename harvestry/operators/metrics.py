@@ -7,15 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvestry.functions.time import micros, moment
 from harvestry.session import by_key, cut_lineage
 
 _BLOCK = 4096  # ticks numbered or summed together
 
 
-def micros(moment: Column) -> Column:
-    return F.unix_micros(moment.cast("timestamp"))
-
-
 def _latency(n: Column, total: Column) -> Column:
     """Mean of ``n`` latencies adding up to ``total`` microseconds, in seconds; 0 for none."""
     return F.when(n > 0, total / n / 1000000).otherwise(F.lit(0.0))
@@ -27,11 +24,11 @@ def interval_sums(items: DataFrame, seconds: int) -> DataFrame:
     Items carry schedule_time, received_time and scraped_time. Works on streams, given a
     watermark on scraped_time. Integer sums keep the result free of summation order.
     """
-    scraped = micros(F.col("scraped_time"))
+    scraped = micros(items, "scraped_time")
     timed = items.select(
         F.col("scraped_time"),
-        (scraped - micros(F.col("schedule_time"))).alias("latency"),
-        (scraped - micros(F.col("received_time"))).alias("pipeline"))
+        (scraped - micros(items, "schedule_time")).alias("latency"),
+        (scraped - micros(items, "received_time")).alias("pipeline"))
     return (timed.groupBy(F.window("scraped_time", f"{seconds} seconds").alias("w"))
             .agg(F.count(F.lit(1)).alias("items"), F.sum("latency").alias("latency_us"),
                  F.sum("pipeline").alias("pipeline_us"))
@@ -59,10 +56,10 @@ def fill_intervals(sums: DataFrame, seconds: int) -> DataFrame:
     """Add zero rows for the empty intervals between the first and the last one. The sums
     are materialised, so the items behind them are read once."""
     step = seconds * 1000000
-    numbered = cut_lineage(sums.withColumn(
-        "tick", F.expr(f"unix_micros(CAST(start AS TIMESTAMP)) div {step}")))
+    numbered = cut_lineage(sums.withColumn("tick", micros(sums, "start"))
+                           .withColumn("tick", F.expr(f"tick div {step}")))
     ticks = _ticks(numbered.agg(F.min("tick").alias("lo"), F.max("tick").alias("hi")))
-    start = F.timestamp_micros(F.col("tick") * step).cast(sums.schema["start"].dataType)
+    start = moment(F.col("tick") * step, sums.schema["start"].dataType)
     zero = F.lit(0).cast("long")
     return (ticks.join(numbered.drop("start"), "tick", "left")
             .select(start.alias("start"),
@@ -97,10 +94,14 @@ def gauges(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
     """
     step = seconds * 1000000
 
-    def change(name: str, moment: str, amount: Column) -> Column:
-        # The first sample at or after the moment sees the change.
-        tick = F.expr(f"(unix_micros(CAST({moment} AS TIMESTAMP)) + {step - 1}) div {step}")
-        return F.struct(F.lit(name).alias("gauge"), tick.alias("tick"), amount.alias("change"))
+    # The first sample at or after a moment sees the change.
+    moments = sorted({m for gauge in wanted for m in (gauge.start, gauge.end) if m})
+    items = items.withColumns({
+        f"_at_{m}": F.ceil((micros(items, m)) / step) for m in moments})
+
+    def change(name: str, at: str, amount: Column) -> Column:
+        return F.struct(F.lit(name).alias("gauge"), F.col(f"_at_{at}").alias("tick"),
+                        amount.alias("change"))
 
     changes = []
     for gauge in wanted:

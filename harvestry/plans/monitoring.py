@@ -19,11 +19,10 @@ def with_lifecycle(events: DataFrame) -> DataFrame:
     k = F.col("_k")
 
     def later(seconds):
-        return (F.col("ts").cast("timestamp")
-                + F.make_dt_interval(secs=seconds.cast("decimal(18,6)")))
+        return F.col("ts") + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
 
     return events.select(
-        "event_id", F.col("ts").cast("timestamp").alias("schedule_time"),
+        "event_id", F.col("ts").alias("schedule_time"),
         later(k).alias("received_time"),
         later(k + F.round("value", 6).cast("decimal(18,6)")).alias("scraped_time"),
         (k + 1000).alias("size"))

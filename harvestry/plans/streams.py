@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from harvestry.functions.time import moment
 from harvestry.operators import enrich
 from harvestry.plans.analytics import SHIFTS_SQL, part_items
 from harvestry.plans.enrichment import _ITEMS, cache, order_items, replies
@@ -26,11 +28,14 @@ FEED_BATCHES = 4
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
+    """A session for streams, in UTC, with state on disk and at most two state partitions per
+    task slot: each costs a commit per micro-batch, however little it holds."""
     session = spark.newSession()
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions",
+                     min(wanted, 2 * spark.sparkContext.defaultParallelism))
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    session.conf.set("spark.sql.shuffle.partitions",
-                     spark.conf.get("spark.sql.shuffle.partitions"))
     return session
 
 
@@ -63,10 +68,15 @@ def interval_metrics_stream(spark, sf_dir):
     session = stream_session(spark)
     events = stream_table(session, f"{sf_dir}/events.parquet",
                           table(spark, sf_dir, "events").schema)
-    running = metrics.start_intervals(with_lifecycle(events), f"{root}/out", f"{root}/checkpoint",
-                                      HOUR, "1 hour", availableNow=True)
+    # Watermarks need instants; the stream's session takes the zone-less moments as UTC.
+    items = with_lifecycle(events).withColumns({
+        name: F.col(name).cast("timestamp")
+        for name in ("schedule_time", "received_time", "scraped_time")})
+    running = metrics.start_intervals(items, f"{root}/out", f"{root}/checkpoint", HOUR, "1 hour",
+                                      availableNow=True)
     running.awaitTermination()
-    found = spark.read.parquet(f"{root}/out")
+    found = spark.read.parquet(f"{root}/out").withColumn(
+        "start", moment(F.unix_micros("start"), T.TimestampNTZType()))
     return found.select(stamp("start").alias("start"), "items",
                         *to6("rate", "latency", "pipeline"))
 

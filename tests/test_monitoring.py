@@ -1,8 +1,11 @@
 import json
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from harvestry.functions.time import micros, moment
 from harvestry.operators import metrics, status
 
 
@@ -132,3 +135,24 @@ def test_wanted_targets(spark):
         status.wanted_targets(known, ["c"])
 
 
+
+
+def test_micros_do_not_depend_on_the_zone(spark):
+    texts = ["1969-12-31 23:59:59.999999", "1970-01-01 00:00:00", "2024-03-10 02:30:00.25",
+             "2024-11-03 01:30:00.000001", "2038-01-19 03:14:08"]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string").withColumn(
+        "ntz", F.col("t").cast("timestamp_ntz"))
+    want = [int((datetime.fromisoformat(t) - datetime(1970, 1, 1)) / timedelta(microseconds=1))
+            for t in texts]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        counted = frame.withColumn("us", micros(frame, "ntz"))
+        back = counted.withColumn("again", moment(F.col("us"), T.TimestampNTZType()))
+        rows = back.collect()
+        assert [r.us for r in rows] == want
+        assert [r.again for r in rows] == [r.ntz for r in rows]
+        instants = back.select(moment(F.col("us"), T.TimestampType()).alias("x"))
+        assert [r[0] for r in instants.select(micros(instants, "x")).collect()] == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
