@@ -25,25 +25,51 @@ def first_address() -> Column:
     return F.get("address", F.lit(0))
 
 
-def from_cache(items: DataFrame, cache: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
-    """Fill ``location`` from ``cache`` (key, value; one row per key) where it is missing.
+# The lookup column. Stages that find it on the items use and keep it, so that consecutive
+# lookups share one shuffle by address; otherwise each adds and drops its own.
+ADDRESS = "_address"
+
+
+def with_address(items: DataFrame) -> DataFrame:
+    """Add the lookup column ahead of several address lookups."""
+    return items.withColumn(ADDRESS, first_address())
+
+
+def without_address(items: DataFrame) -> DataFrame:
+    return items.drop(ADDRESS)
+
 
-    Every row joins on its address, also those that need no lookup: NULLed keys would all
-    meet in one partition. A very common address is left to AQE's skew join.
+def _look_up(items: DataFrame, found: DataFrame, fill) -> DataFrame:
+    """Left join on the address with ``found`` (_address, _found), then ``fill``.
+
+    Every row joins, also those that need no lookup: NULLed keys would all meet in one
+    partition. A very common address is left to AQE's skew join.
     """
-    entries = cache.select(F.col("key").alias("_key"), F.col("value").alias("_value"))
-    return (items.withColumn("_key", cache_key(first_address(), namespace))
-            .join(entries, "_key", "left")
-            .withColumn("location", F.coalesce("location", cached_location(F.col("_value"))))
-            .drop("_key", "_value"))
+    keyed = items if ADDRESS in items.columns else with_address(items)
+    done = fill(keyed.join(found, ADDRESS, "left")).drop("_found")
+    return done.select(*[c for c in done.columns if c != ADDRESS or c in items.columns])
 
 
-def cache_entries(items: DataFrame, namespace: str = NAMESPACE, seq: str = "seq") -> DataFrame:
-    """(key, value, seq): the last location per address, as JSON, from finished items."""
-    rows = items.filter(F.col("location").isNotNull() & first_address().isNotNull()).select(
+def from_cache(items: DataFrame, cache: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
+    """Fill ``location`` from ``cache`` (key, value; one row per key) where it is missing."""
+    prefix = cache_key(F.lit(""), namespace)
+    entries = cache.filter(F.startswith("key", prefix)).select(
+        F.substring("key", len(namespace) + 2, 2**31 - 1).alias(ADDRESS),
+        F.col("value").alias("_found"))
+    return _look_up(items, entries, lambda joined: joined.withColumn(
+        "location", F.coalesce("location", cached_location(F.col("_found")))))
+
+
+def cache_rows(items: DataFrame, namespace: str = NAMESPACE, seq: str = "seq") -> DataFrame:
+    """(key, value, seq) for every finished item with a location, which is kept as JSON."""
+    return items.filter(F.col("location").isNotNull() & first_address().isNotNull()).select(
         cache_key(first_address(), namespace).alias("key"),
         F.to_json("location").alias("value"), F.col(seq).alias("seq"))
-    return latest_entries(rows)
+
+
+def cache_entries(items: DataFrame, namespace: str = NAMESPACE, seq: str = "seq") -> DataFrame:
+    """The last one of :func:`cache_rows` per key."""
+    return latest_entries(cache_rows(items, namespace, seq))
 
 
 def latest_entries(entries: DataFrame) -> DataFrame:
@@ -53,10 +79,11 @@ def latest_entries(entries: DataFrame) -> DataFrame:
             .select("key", "_best.value", "_best.seq"))
 
 
-def merge_cache(cache: DataFrame, entries: DataFrame) -> DataFrame:
-    """The cache after a run: entries of the run overwrite older values."""
+def merge_cache(cache: DataFrame, rows: DataFrame) -> DataFrame:
+    """The cache after a run: the run's last row per key overwrites an older value. Takes
+    unreduced :func:`cache_rows`, so that they are shuffled once."""
     old = cache.select("key", "value", F.lit(None).cast("long").alias("seq"))
-    return latest_entries(old.unionByName(entries.select("key", "value", "seq"))).drop("seq")
+    return latest_entries(old.unionByName(rows.select("key", "value", "seq"))).drop("seq")
 
 
 def settle_replies(replies: DataFrame, retry: bool = True) -> DataFrame:
@@ -86,15 +113,11 @@ def from_replies(items: DataFrame, settled: DataFrame) -> DataFrame:
     """Fill ``location`` from settled replies and say in ``geo`` how: already_set, found or
     error. Each distinct address has one reply row, so items share a single lookup, and a
     failure reaches all of them."""
-    replies = settled.select(F.col("address").alias("_address"), F.col("found").alias("_found"))
-    located = F.col("location").isNotNull()
-    return (items.withColumn("_address", first_address())
-            .join(replies, "_address", "left")
-            .withColumns({
-                "geo": F.when(located, "already_set")
-                .when(F.col("_found").isNotNull(), "found").otherwise("error"),
-                "location": F.coalesce("location", "_found"),
-            }).drop("_address", "_found"))
+    replies = settled.select(F.col("address").alias(ADDRESS), F.col("found").alias("_found"))
+    state = (F.when(F.col("location").isNotNull(), "already_set")
+             .when(F.col("_found").isNotNull(), "found").otherwise("error"))
+    return _look_up(items, replies, lambda joined: joined.withColumns({
+        "geo": state, "location": F.coalesce("location", "_found")}))
 
 
 def geo_counters(items: DataFrame, settled: DataFrame) -> DataFrame:
@@ -102,7 +125,8 @@ def geo_counters(items: DataFrame, settled: DataFrame) -> DataFrame:
     addresses looked up, over-quota replies, and items left without. Items shrink to one
     row per address before the join."""
     cold = F.col("location").isNull()
-    per_address = items.groupBy(first_address().alias("address")).agg(
+    address = F.col(ADDRESS) if ADDRESS in items.columns else first_address()
+    per_address = items.groupBy(address.alias("address")).agg(
         F.count_if(~cold).alias("had"), F.count_if(cold).alias("cold"))
     asked = F.col("cold") > 0
     return per_address.join(settled, "address", "left").agg(

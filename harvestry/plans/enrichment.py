@@ -24,10 +24,10 @@ def order_items(spark, sf_dir) -> DataFrame:
 
 
 def cache(spark, sf_dir) -> DataFrame:
-    """Customers of even nations, at a place of their own."""
+    """Customers with a balance over 3000, at a place of their own."""
     value = F.to_json(F.struct(F.col("c_acctbal").alias("lat"),
                                F.col("c_nationkey").cast("double").alias("lon")))
-    return table(spark, sf_dir, "customer").filter("c_nationkey % 2 = 0").select(
+    return table(spark, sf_dir, "customer").filter("c_acctbal > 3000").select(
         enrich.cache_key(F.col("c_name")).alias("key"), value.alias("value"))
 
 
@@ -52,7 +52,7 @@ _ITEMS = """
                      c_custkey IS NOT NULL AS known
               FROM orders o LEFT JOIN customer ON c_custkey = o_custkey)"""
 
-_CACHED = "known AND c_nationkey % 2 = 0"
+_CACHED = "known AND c_acctbal > 3000"
 _FOUND = "known AND c_mktsegment <> 'MACHINERY'"
 
 
@@ -77,7 +77,7 @@ def cache_lookup(spark, sf_dir):
       SELECT key, o_orderkey AS seq, lat, lon FROM fresh
       UNION ALL
       SELECT 'ADDRESS_CACHE:' || c_name, -1, c_acctbal, CAST(c_nationkey AS DOUBLE)
-      FROM customer WHERE c_nationkey % 2 = 0)
+      FROM customer WHERE c_acctbal > 3000)
     SELECT key, lat, lon FROM (
       SELECT *, row_number() OVER (PARTITION BY key ORDER BY seq DESC) AS r FROM entries)
     WHERE r = 1""")
@@ -86,7 +86,7 @@ def cache_merge(spark, sf_dir):
     settled = enrich.settle_replies(replies(spark, sf_dir))
     done = enrich.from_replies(order_items(spark, sf_dir), settled)
     merged = enrich.merge_cache(cache(spark, sf_dir),
-                                enrich.cache_entries(done, seq="o_orderkey"))
+                                enrich.cache_rows(done, seq="o_orderkey"))
     place = cached_location(F.col("value"))
     return merged.select("key", place["lat"].alias("lat"), place["lon"].alias("lon"))
 
@@ -114,7 +114,9 @@ _GEO = f"""
 
 
 def _cached_items(spark, sf_dir) -> DataFrame:
-    return enrich.from_cache(order_items(spark, sf_dir), cache(spark, sf_dir))
+    """With the lookup column kept, as further lookups follow."""
+    return enrich.from_cache(enrich.with_address(order_items(spark, sf_dir)),
+                             cache(spark, sf_dir))
 
 
 @query(f"""
@@ -194,6 +196,7 @@ def staged_items(spark, sf_dir):
         (500, enrich.add_surcharge),
         (400, lambda items: enrich.from_replies(items, settled)),
         (300, lambda items: enrich.from_cache(items, known)),
+        (200, enrich.with_address),
         (100, tidy_dates),
     ])
     return done.select("o_orderkey", F.get("date", F.lit(0)).alias("date"), "geo", "location.lat",

@@ -145,7 +145,7 @@ def index_cards(spark, sf_dir):
     SELECT p_partkey // {site.PER_LIST} AS page,
            row_number() OVER (PARTITION BY p_partkey // {site.PER_LIST} ORDER BY p_partkey) - 1
              AS pos,
-           CASE WHEN p_partkey % 97 <> 0 THEN CAST(p_partkey AS INTEGER) END AS id,
+           CASE WHEN p_size <> 13 THEN CAST(p_partkey AS INTEGER) END AS id,
            p_name AS info
     FROM part""")
 def page_list_items(spark, sf_dir):

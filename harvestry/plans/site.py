@@ -74,9 +74,9 @@ def index_pages(spark, sf_dir) -> DataFrame:
 
 
 def list_pages(spark, sf_dir) -> DataFrame:
-    """(page, url, html): list pages of PER_LIST numbered entries; every 97th entry has a
-    word where its number belongs."""
-    number = F.when(F.col("p_partkey") % 97 == 0, "unnumbered").otherwise(
+    """(page, url, html): list pages of PER_LIST numbered entries; an entry of size 13 has
+    a word where its number belongs."""
+    number = F.when(F.col("p_size") == 13, "unnumbered").otherwise(
         F.col("p_partkey").cast("string"))
     entry = _joined("<li><h3>item ", number, '</h3><div class="info">', F.col("p_name"),
                     "</div>")

@@ -97,7 +97,7 @@ def url_dedup_stream(spark, sf_dir):
 
 @query(f"""
     WITH {_ITEMS},
-    done AS (SELECT *, placed OR (known AND c_nationkey % 2 = 0) AS had FROM items)
+    done AS (SELECT *, placed OR (known AND c_acctbal > 3000) AS had FROM items)
     SELECT o_orderkey,
            CASE WHEN placed THEN 1.0 WHEN had THEN c_acctbal
                 WHEN known AND c_mktsegment <> 'MACHINERY' THEN c_nationkey * 1.5 END AS lat

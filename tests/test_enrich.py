@@ -49,6 +49,20 @@ def test_geocode_with_retries(spark):
         7: "found"}
 
 
+def test_lookups_share_one_shuffle(spark):
+    items, cache, replies = scenario(spark)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = enrich.from_replies(enrich.from_cache(enrich.with_address(items), cache),
+                                   enrich.settle_replies(replies))
+        plan = done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Items, cache and replies are shuffled once each.
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert done.count() == 7 and "_address" in done.columns
+
+
 def test_geocode_without_retries(spark):
     items, _, replies = scenario(spark)
     done = enrich.from_replies(items, enrich.settle_replies(replies, retry=False))
@@ -70,7 +84,8 @@ def test_cache_write_back(spark):
     done = done.withColumn("location", F.when(F.col("seq") == 4, F.struct(
         F.lit(7.0).alias("lat"), F.lit(8.0).alias("lon"))).otherwise(F.col("location")))
     merged = {r.key: r.value for r in
-              enrich.merge_cache(cache, enrich.cache_entries(done)).collect()}
+              enrich.merge_cache(cache, enrich.cache_rows(done)).collect()}
+    assert {r.key: r.value for r in enrich.cache_entries(done).collect()}.items() <= merged.items()
     assert set(merged) == {"ADDRESS_CACHE:preset", "ADDRESS_CACHE:cached", "ADDRESS_CACHE:cold",
                            "ADDRESS_CACHE:busy", "OTHER:unknown"}
     assert json.loads(merged["ADDRESS_CACHE:cold"]) == {"lat": 7.0, "lon": 8.0}
