@@ -29,8 +29,9 @@ def pipe_numbers(rows: DataFrame, name: str, command: list[str], out: str | None
     """Replace a number column by what ``command`` prints for it (or add it as ``out``).
 
     The command must answer every input line ("%f") with one line as it comes, without
-    waiting for more input or holding output back. It starts with its task and ends with it; ``chunk`` values are written ahead of reading, so the
-    process is never idle between lines. NULLs are not sent.
+    waiting for more input or holding output back. It starts and ends with its task;
+    ``chunk`` values are written ahead of reading, so the process is never idle between
+    lines. NULLs are not sent.
     """
     target = out or name
     schema = T.StructType(

@@ -180,7 +180,8 @@ def extract_rules(spark, sf_dir):
 
 
 @query(f"""
-    SELECT 'http://web:9312/properties/property_' || format('{{:06d}}', p_partkey) || '.html' AS url,
+    SELECT 'http://web:9312/properties/property_' || format('{{:06d}}', p_partkey) || '.html'
+             AS url,
            {_TITLE} AS title, round(p_retailprice * 10, 2) AS price
     FROM part""")
 def api_index(spark, sf_dir):

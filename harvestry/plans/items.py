@@ -171,8 +171,8 @@ def upsert_rows(spark, sf_dir):
         F.concat("l_returnflag", F.lit("\r\n"), "l_linestatus",
                  F.lit("\r\nkept until the ship date")),
         F.col("l_orderkey") * 8 + F.col("l_linenumber"))
-    old = items(table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"), F.col("p_retailprice"), F.col("p_type"),
-                F.lit(-1).cast("long"))
+    old = items(table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"),
+                F.col("p_retailprice"), F.col("p_type"), F.lit(-1).cast("long"))
     return rows.upsert(rows.upsert_rows(old).drop("seq"), rows.upsert_rows(new))
 
 

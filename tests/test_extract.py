@@ -140,7 +140,8 @@ def test_json_index(spark):
     body = '[{"id": 0, "title": " better set unique "}, {"id": 7, "title": "x"}]'
     rows = index_entries(spark.createDataFrame([(body,)], "body string"), HEAD).collect()
     assert [(r.url, r.title) for r in rows] == [
-        (HEAD + "property_000000.html", " better set unique "), (HEAD + "property_000007.html", "x")]
+        (HEAD + "property_000000.html", " better set unique "),
+        (HEAD + "property_000007.html", "x")]
 
 
 def test_pages_are_parsed_once(spark):

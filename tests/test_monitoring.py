@@ -11,7 +11,8 @@ from harvestry.operators import metrics, status
 
 def lifecycles(spark, *rows):
     """Rows of (scheduled, received, scraped) in seconds after midnight."""
-    frame = spark.createDataFrame([tuple(map(float, r)) for r in rows], "a double, b double, c double")
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in rows],
+                                  "a double, b double, c double")
 
     def at(name):
         return F.timestamp_micros((F.col(name) * 1000000).cast("long") + 1420070400000000)

@@ -78,7 +78,8 @@ def resolve(spark, pairs):
 
 def test_join_url_cases(spark):
     hrefs = ["b.html", "/b", "//c.example.com/d", "?q=2", "#g", "", "../b", "../../../b", "./b",
-             "b/../c", "b/..", ".", "..", "https://d.example.com/e", "mailto:x@y.z", "b/./c?x=..#.."]
+             "b/../c", "b/..", ".", "..", "https://d.example.com/e", "mailto:x@y.z",
+             "b/./c?x=..#.."]
     pairs = [(base, href) for base in BASES for href in hrefs]
     assert resolve(spark, pairs) == [urljoin(*pair) for pair in pairs]
 
