@@ -80,7 +80,7 @@ def none_if_empty(values: Column) -> Column:
 def iso_text(moment: Column) -> Column:
     """ISO 8601 text; the fraction appears only where there are microseconds."""
     text = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.when(F.endswith(text, F.lit(".000000")), F.substring(text, 1, 19)).otherwise(text)
+    return F.regexp_replace(text, r"\.000000$", "")
 
 
 def fits(text: Column, length: int) -> Column:

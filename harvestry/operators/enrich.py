@@ -51,13 +51,14 @@ def _look_up(items: DataFrame, found: DataFrame, fill) -> DataFrame:
 
 
 def from_cache(items: DataFrame, cache: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
-    """Fill ``location`` from ``cache`` (key, value; one row per key) where it is missing."""
+    """Fill ``location`` from ``cache`` (key, value; one row per key) where it is missing.
+    Values are decoded ahead of the join, once per entry."""
     prefix = cache_key(F.lit(""), namespace)
     entries = cache.filter(F.startswith("key", prefix)).select(
         F.substring("key", len(namespace) + 2, 2**31 - 1).alias(ADDRESS),
-        F.col("value").alias("_found"))
+        cached_location(F.col("value")).alias("_found"))
     return _look_up(items, entries, lambda joined: joined.withColumn(
-        "location", F.coalesce("location", cached_location(F.col("_found")))))
+        "location", F.coalesce("location", "_found")))
 
 
 def cache_rows(items: DataFrame, namespace: str = NAMESPACE, seq: str = "seq") -> DataFrame:
