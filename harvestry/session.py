@@ -34,19 +34,17 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Where the setting is absent a temporary folder serves a local master; a cluster
-    without the setting is refused, because a machine-local folder would be lost with
-    its machine.
+    Where the setting is absent a local master uses the context's checkpoint folder, or a
+    temporary one; a cluster without the setting is refused, because a machine-local folder
+    would be lost with its machine.
     """
+    context = spark.sparkContext
     root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    if not root and not context.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="run-"))
+    return root or context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
