@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import uuid
 
@@ -48,7 +50,7 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder; nothing is ever deleted from it."""
+    """A fresh path below the shared folder, for what a caller keeps."""
     return f"{shared_root(spark).rstrip('/')}/harvestry/{label}-{uuid.uuid4().hex}"
 
 
@@ -60,10 +62,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read that: for results several sinks
-    use, each reading only its columns."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    use, each reading only its columns. ``discard`` deletes it again."""
+    spark = df.sparkSession
+    root = f"{shared_root(spark).rstrip('/')}/harvestry"
+    database = f"harvestry_{hashlib.md5(root.encode()).hexdigest()[:12]}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
+    name = f"{database}.{re.sub('[^a-z0-9]', '_', label.lower())}_{uuid.uuid4().hex}"
+    df.write.format("parquet").saveAsTable(name)
+    stored = spark.table(name)
+    stored.scratch_table = name
+    return stored
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table made by ``store``, once nothing lazy reads it any more."""
+    name = getattr(df, "scratch_table", None)
+    if name:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def by_key(df: DataFrame, *keys: str) -> DataFrame:

@@ -5,19 +5,24 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from harvestry.plans import catalog
 from tests.compare import difference
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, catalog.ORACLE_SQL
 
 
 def test_every_query_has_sql():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(QUERIES)
+
+
+def test_every_query_is_an_entry():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
-    assert difference(spark, SF, entry.queries()[name], SQL[name]) is None
+    assert difference(spark, SF, QUERIES[name], SQL[name]) is None
 
 
 def test_entry(spark):
