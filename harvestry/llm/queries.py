@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup
+from harvestry.llm import line_dedup, packing, token_files
 from harvestry.plans.registry import table
+from harvestry.session import scratch_path
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -47,3 +49,19 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_common_lines(documents)
     return kept.select("doc_id", "n_lines", "n_dropped",
                        F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query()
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token_files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path,
+                                  public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.read_documents(spark, path, token_files.ids_crc32, "long").select(
+        "doc_id", "start", "n_tokens", F.col("value").alias("ids_crc32"))
