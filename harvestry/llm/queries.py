@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, packing, token_files
+from harvestry.llm import line_dedup, mixing, packing, token_files
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -65,3 +65,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("word_bpe_49k.json"))
     return token_files.read_documents(spark, path, token_files.ids_crc32, "long").select(
         "doc_id", "start", "n_tokens", F.col("value").alias("ids_crc32"))
+
+
+@query()
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
