@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import text_or_empty
+from harvestry.session import store
 
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -51,7 +52,8 @@ def drop_common_lines(documents: DataFrame, min_docs: int = 10, min_chars: int =
     lines = F.split("text", "\n", -1)
     found = row.select("copy", F.explode(F.array_distinct(F.transform(
         lines, lambda line: _key_hash(line, min_chars)))).alias("hash"))
-    found = found.where("hash is not null")
+    # Normalising lines is the cost here: once, for the counts and for what is lost.
+    found = store(found.where("hash is not null"), "line_keys")
     common = (found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= min_docs).select("hash"))
     # Rows of one id and text lose the same lines, so the pair identifies what they lose.
