@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, mixing, packing, token_files
+from harvestry.llm import line_dedup, mixing, ngram_join, packing, token_files
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -70,3 +70,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents")).drop("source")
+
+
+@query()
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
