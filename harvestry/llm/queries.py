@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, mixing, ngram_join, packing, token_files
+from harvestry.llm import line_dedup, mixing, ngram_join, packing, quality, token_files
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -75,3 +75,11 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, table(spark, sf_dir, "labels"))
+    return quality.scored(documents, model).select(
+        "doc_id", quality.is_held_out().alias("held_out"), "score", "predicted")
