@@ -33,6 +33,8 @@ TABLE = np.zeros((256, len(CLASSES) + 1))
 for place, members in enumerate(CLASSES.values()):
     TABLE[list(members), place] = 1
 TABLE[128:, -1] = 1
+#: Where the features hold the logarithm of the number of words.
+WORDS = len(CLASSES) + 3
 
 
 def features(text: str) -> list[float]:
@@ -58,9 +60,15 @@ def features(text: str) -> list[float]:
             math.sqrt(sum(len(w) < 4 for w in distinct) / max(len(distinct), 1))]
 
 
+def scaled(x: np.ndarray, mean: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Standard units, drawn towards 0 for texts of few words: their shares say little."""
+    words = np.expm1(x[:, WORDS])
+    return (x - mean) / spread * np.sqrt(words / (words + 8))[:, None]
+
+
 @dataclass(frozen=True)
 class Model:
-    """Scores are (features - mean) / spread @ weights; a text passes at the threshold."""
+    """Ranks are scaled features @ weights; a text passes at the threshold."""
     mean: np.ndarray
     spread: np.ndarray
     weights: np.ndarray
@@ -68,7 +76,7 @@ class Model:
     scale: float
 
     def rank(self, x: np.ndarray) -> np.ndarray:
-        return ((x - self.mean) / self.spread) @ self.weights
+        return scaled(x, self.mean, self.spread) @ self.weights
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip((self.rank(x) - self.threshold) / self.scale, -30, 30)))
@@ -81,11 +89,11 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int = 7) ->
     better, worse = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
     if not (len(better) and len(worse)):
         return Model(np.zeros(width), np.ones(width), np.zeros(width), 0.0, 1.0)
-    mean, spread = x.mean(axis=0), x.std(axis=0)
+    mean, spread = x[better].mean(axis=0), x.std(axis=0)
     spread[spread == 0] = 1
-    scaled = (x - mean) / spread
+    units = scaled(x, mean, spread)
     rng = np.random.default_rng(seed)
-    apart = scaled[rng.choice(better, pairs)] - scaled[rng.choice(worse, pairs)]
+    apart = units[rng.choice(better, pairs)] - units[rng.choice(worse, pairs)]
     weights = np.zeros(width)
     for _ in range(40):
         lost = 1 / (1 + np.exp(np.clip(apart @ weights, -30, 30)))
@@ -95,7 +103,7 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, seed: int = 7) ->
         weights = weights - step
         if np.abs(step).max() < 1e-8:
             break
-    ranks = scaled @ weights
+    ranks = units @ weights
     levels = np.quantile(ranks, np.linspace(0, 1, 401))
     # Balanced accuracy at each quantile; where several are best, the middle of them.
     high, low = np.sort(ranks[better]), np.sort(ranks[worse])
