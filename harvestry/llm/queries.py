@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestry.llm import line_dedup, mixing, ngram_join, packing, quality, token_files
+from harvestry.llm import (
+    html_crf, line_dedup, mixing, ngram_join, packing, quality, token_files)
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -83,3 +84,8 @@ def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(documents, table(spark, sf_dir, "labels"))
     return quality.scored(documents, model).select(
         "doc_id", quality.is_held_out().alias("held_out"), "score", "predicted")
+
+
+@query()
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_crf.extract(table(spark, sf_dir, "pages"))
