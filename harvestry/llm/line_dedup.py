@@ -54,8 +54,9 @@ def drop_common_lines(documents: DataFrame, min_docs: int = 10, min_chars: int =
         lines, lambda line: _key_hash(line, min_chars)))).alias("hash"))
     # Normalising lines is the cost here: once, for the counts and for what is lost.
     found = store(found.where("hash is not null"), "line_keys")
-    common = (found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= min_docs).select("hash"))
+    # Written, so that the join shuffles plain rows and a line of many documents is split.
+    common = store(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+                   .where(F.col("n") >= min_docs).select("hash"), "common_lines")
     # Rows of one id and text lose the same lines, so the pair identifies what they lose.
     lost = (found.join(common, "hash").groupBy("copy")
             .agg(F.collect_set("hash").alias("lost")))
