@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.llm import (
-    html_crf, line_dedup, mixing, ngram_join, packing, quality, token_files)
+    chunk_dedup, html_crf, line_dedup, mixing, ngram_join, packing, quality, token_files)
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -89,3 +89,8 @@ def op2_quality_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_crf.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.repeats(table(spark, sf_dir, "documents")).drop("row")
