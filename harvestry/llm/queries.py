@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.llm import (
-    chunk_dedup, html_crf, line_dedup, mixing, ngram_join, packing, quality, token_files)
+    chunk_dedup, hnsw, html_crf, line_dedup, mixing, ngram_join, packing, quality, token_files,
+    topk)
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -94,3 +95,30 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.repeats(table(spark, sf_dir, "documents")).drop("row")
+
+
+TOP_K_SQL = """
+WITH usable AS (
+  SELECT vec_id, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT)
+            AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query(TOP_K_SQL)
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op8_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.search(table(spark, sf_dir, "embeddings"))
