@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import bucket_count, rank_in_group, word_count
+from harvestry.llm.common import WORD, bucket_count, rank_in_group, word_count
 from harvestry.session import store
 
 WEIGHTS = (5, 2, 1)
@@ -146,3 +146,32 @@ def taken(documents: DataFrame, size: Column | None = None) -> DataFrame:
                       rows["source"].eqNullSafe(F.col("name"))).join(sums, "row", "left")
             .select("doc_id", "source", "size", "source_size", "target",
                     F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed(documents: DataFrame) -> DataFrame:
+    """The mix as documents: a row for each round of its source's line in which a document is
+    taken, with all columns. Blocks are taken in the line's order, so a round takes a document
+    whole but for one at the round's last block, whose text is cut to the words taken (joined
+    by spaces). Documents the mix does not take, empty ones among them, go; ``n_chars``, where
+    there is one, follows the text."""
+    kept = store(documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("all"), "doc_id", "source",
+        word_count().alias("size")).withColumn("row", F.monotonically_increasing_id()),
+        "mixing_documents")
+    sources = store(targets(kept), "mixing_targets")
+    drawn = mix(kept.select("row", "doc_id", "source", "size"), sources)
+    # The rounds that take a part: a part is taken once a round, and rounds go by the rank.
+    parts = drawn.withColumn("round", F.row_number().over(Window.partitionBy(
+        "row", "start").orderBy("slot")))
+    rounds = parts.groupBy("row", "round").agg(F.min("start").alias("first"),
+                                               F.sum("length").alias("length"))
+    taken_rows = kept.join(rounds, "row")
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("all.text", F.lit(WORD), F.lit(0)),
+                                   (F.col("first") + 1).cast("int"),
+                                   F.col("length").cast("int")))
+    text = F.when(F.col("length") == F.col("size"), F.col("all.text")).otherwise(cut)
+    out = {"text": text}
+    if "n_chars" in documents.columns:
+        out["n_chars"] = F.length(text).cast(documents.schema["n_chars"].dataType)
+    return taken_rows.select(*[out.get(c, F.col(f"all.`{c}`")).alias(c)
+                               for c in documents.columns])

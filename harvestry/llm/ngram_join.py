@@ -31,14 +31,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import components
 from harvestry.session import discard, store
 
-#: Tokens with hashes below this share of the range are ordered by frequency.
-SHARE = 6
 #: Least document frequency of the classes indexed by 2- and 3-combinations.
 CLASSES = ((4096, 3), (64, 2))
 #: A set of 2^level to 2^(level+1) tokens deals frequent tokens into 2^level / SPREAD groups.
@@ -47,8 +45,14 @@ SPREAD = 64
 BLOCK, ROUNDS = 256, 2
 WORDS_AT_ONCE = 2_000_000
 
-SHINGLED = ("row long, doc_id long, n long, d1 long, d2 long, bits binary, window array<long>, "
-            "shared int")
+SHINGLED = ("row long, doc_id long, t1 long, t2 long, n long, d1 long, d2 long, bits binary, "
+            "window array<long>, shared int")
+
+
+def share_edge(percent: int) -> int:
+    """Tokens with hashes below this are ordered by frequency: a share of the range that holds
+    somewhat more than the longest prefix takes of a set."""
+    return (1 << 64) // max(1, round(70 / max(100 - percent, 1)))
 
 
 def errors(n: int, percent: int) -> int:
@@ -133,10 +137,10 @@ def shingled(documents: DataFrame, size: int, percent: int) -> DataFrame:
     """A row per document: its set's size, digest, parity bitmap and window (all tokens of
     the ordered share, or as many of the lowest hashes as any prefix may take)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        edge = np.uint64((1 << 64) // SHARE)
+        edge = np.uint64(min(share_edge(percent), (1 << 64) - 1))
         for batch in batches:
             out = {name: [] for name in ("n", "d1", "d2", "bits", "window", "shared")}
-            for tokens in shingle_sets(batch.column(2), size):
+            for tokens in shingle_sets(batch.column(4), size):
                 n = len(tokens)
                 digest = xxhash.xxh3_128_digest(tokens.tobytes())
                 first, second = np.frombuffer(digest, np.int64)
@@ -147,7 +151,7 @@ def shingled(documents: DataFrame, size: int, percent: int) -> DataFrame:
                                     ("window", _signed(tokens[:max(shared, reach)]))):
                     out[name].append(value)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(out["n"], pa.int64()),
+                [*batch.columns[:4], pa.array(out["n"], pa.int64()),
                  pa.array(out["d1"], pa.int64()), pa.array(out["d2"], pa.int64()),
                  pa.array(out["bits"], pa.binary()),
                  pa.array(out["window"], pa.list_(pa.int64())),
@@ -155,13 +159,18 @@ def shingled(documents: DataFrame, size: int, percent: int) -> DataFrame:
                 names=[f.split()[0] for f in SHINGLED.split(", ")])
 
     return documents.select(F.monotonically_increasing_id().alias("row"),
-                            F.col("doc_id").cast("long"), "text").mapInArrow(run, SHINGLED)
+                            F.col("doc_id").cast("long"), *text_hash(), "text").mapInArrow(
+        run, SHINGLED)
+
+
+def text_hash():
+    return (F.xxhash64("text").alias("t1"), F.xxhash64(F.lit("text"), "text").alias("t2"))
 
 
 def _prefix(tokens, frequency, shared: int, n: int, percent: int, level: int):
     """Signatures of one set at a level: ``tokens`` are those of its window found in several
     windows, ``frequency`` in how many, ``shared`` its tokens in the ordered share."""
-    edge = (1 << 64) // SHARE
+    edge = share_edge(percent)
     ordered = sorted((t >= edge, f if t < edge else 0, t, f)
                      for t, f in zip(tokens, frequency, strict=True))
     # Tokens of the share that no other set has come first and survive as singles.
@@ -301,14 +310,9 @@ def _near(left, right, percent):
                 yield member["id"], near[1][to]["id"]
 
 
-def link_components(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """Every document (``doc_id``, ``text``) with ``n_shingles`` and ``component_id``.
-
-    Two documents link when 100 * intersection >= ``percent`` * union of their sets of
-    ``size``-word shingles. ``component_id`` is the smallest doc_id reachable by links, itself
-    included. A text without words, or null, has no shingles and links with nothing. Rows that
-    repeat an id are separate documents; a null id stays null and is passed over for the
-    smallest. An empty table gives no rows; other columns are not read."""
+def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows as ``shingled`` makes them (stored), and ``d1``, ``d2``, ``n``, ``component``
+    (a number shared by all linked sets) of every distinct set."""
     rows = store(shingled(documents, size, percent), "ngram_sets")
     classes = store(rows.where("n > 0").groupBy("d1", "d2", "n").agg(
         F.min("row").alias("id"), F.min("doc_id").alias("doc_id")), "ngram_classes")
@@ -340,13 +344,50 @@ def link_components(documents: DataFrame, size: int = 3, percent: int = 90) -> D
         merged = components(reduce(DataFrame.unionByName, links))
         component = store(ids.join(merged, "id", "left").select(
             "id", F.coalesce("component", "id").alias("component")), "ngram_components")
-    smallest = (classes.join(component, "id").groupBy("component")
-                .agg(F.min("doc_id").alias("low")))
-    of_class = classes.join(component, "id", "left").join(smallest, "component", "left").select(
-        "d1", "d2", "n", F.coalesce("low", "doc_id").alias("component_id"))
-    result = rows.select("doc_id", "n", "d1", "d2").join(of_class, ["d1", "d2", "n"], "left")
-    return result.select("doc_id", F.col("n").alias("n_shingles"),
-                         F.coalesce("component_id", "doc_id").alias("component_id"))
+    return rows, classes.join(component, "id", "left").select(
+        "d1", "d2", "n", F.coalesce("component", "id").alias("component"))
+
+
+def link_components(documents: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """Every document (``doc_id``, ``text``) with ``n_shingles`` and ``component_id``.
+
+    Two documents link when 100 * intersection >= ``percent`` * union of their sets of
+    ``size``-word shingles. ``component_id`` is the smallest doc_id reachable by links, itself
+    included. A text without words, or null, has no shingles and links with nothing. Rows that
+    repeat an id are separate documents; a null id stays null and is passed over for the
+    smallest. An empty table gives no rows; other columns are not read."""
+    rows, classes = linked(documents, size, percent)
+    placed = rows.join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "component")
+    placed = store(placed, "ngram_placed")
+    lowest = placed.where("component is not null").groupBy("component").agg(
+        F.min("doc_id").alias("component_id"))
+    return placed.join(lowest, "component", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of linked ones, that of the smallest doc_id (null last), with
+    all its columns; documents without words stay."""
+    rows, classes = linked(documents, size, percent)
+    placed = rows.select("row", "doc_id", "t1", "t2", "d1", "d2", "n").join(
+        classes, ["d1", "d2", "n"], "left")
+    first = placed.where("component is not null").groupBy("component").agg(F.min(F.struct(
+        F.col("doc_id").isNull(), "doc_id", "row", "t1", "t2")).alias("kept"))
+    kept = first.select("kept.doc_id", "kept.t1", "kept.t2").unionByName(
+        placed.where("component is null").select("doc_id", "t1", "t2")).distinct()
+    kept = store(kept.select(F.col("doc_id").alias("name"), "t1", "t2"), "ngram_kept")
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("all"),
+                            F.col("doc_id").cast("long").alias("own"), *text_hash(),
+                            F.regexp_like("text", F.lit(r"[^\x20\x09-\x0D]")).alias("words"))
+    found = held.join(kept.select("name", F.col("t1").alias("k1"), F.col("t2").alias("k2")),
+                      F.col("own").eqNullSafe(F.col("name")) & (F.col("t1") == F.col("k1"))
+                      & (F.col("t2") == F.col("k2")), "left_semi")
+    # Rows equal in id and text match the same winner: the first of them stays.
+    same = Window.partitionBy("own", "t1", "t2").orderBy(F.lit(0))
+    return found.withColumn("turn", F.row_number().over(same)).where(
+        "turn = 1 or not coalesce(words, false)").select(*[F.col(f"all.`{c}`") for c in
+                                                           documents.columns])
 
 
 def _sets_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:

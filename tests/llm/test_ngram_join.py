@@ -131,7 +131,7 @@ def test_similar_sets_share_a_signature(seed, monkeypatch):
             gone = rng.integers(0, n // 9 + 1)
             new = rng.integers(0, 1 << 64, rng.integers(0, n // 9 + 1), np.uint64)
             sets.append(np.unique(np.concatenate([rng.permutation(base)[gone:], new])))
-    edge, windows = np.uint64((1 << 64) // ngram_join.SHARE), []
+    edge, windows = np.uint64(ngram_join.share_edge(90)), []
     for s in sets:
         n = len(s)
         reach = ngram_join.errors(n, 90) + 1 + 3 * ngram_join.groups_of(n.bit_length() - 1)
@@ -161,3 +161,20 @@ def test_shingles_equal_plain_words():
              "w " * 5000, "\n\n", "one two"]
     found = [len(s) for s in ngram_join.shingle_sets(pa.array(texts), 3)]
     assert found == [len(plain_set(t)) for t in texts]
+
+
+def test_keep_one(spark):
+    rows = corpus(4)[:150]
+    rows += [(rows[0][0], rows[0][1])] * 2 + [(None, rows[1][1]), (None, "only here " * 20),
+                                              (None, None), (5000, None), (5000, None), (5001, "")]
+    docs = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], SCHEMA)
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    found = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    sure = [(i, t) for i, t in rows if i is not None and plain_set(t, 5)]
+    lowest = {c for _, n, c in plain_components(sure, 5, 80) if n}
+    texts = dict(reversed(sure))
+    want = [(i, texts[i]) for i in lowest] + [(None, "only here " * 20), (None, None)]
+    want += [(5000, None)] * 2 + [(5001, "")] + [(i, t) for i, t in rows if i is not None
+                                                 and i < 5000 and not plain_set(t, 5)]
+    assert found == sorted(want, key=repr)
