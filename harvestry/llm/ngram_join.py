@@ -42,7 +42,7 @@ CLASSES = ((4096, 3), (64, 2))
 #: A set of 2^level to 2^(level+1) tokens deals frequent tokens into 2^level / SPREAD groups.
 SPREAD = 64
 #: Members of a signature compared in one block; rounds of stars before.
-BLOCK, ROUNDS = 256, 2
+BLOCK, ROUNDS = 256, 5
 WORDS_AT_ONCE = 2_000_000
 
 SHINGLED = ("row long, doc_id long, t1 long, t2 long, n long, d1 long, d2 long, bits binary, "
@@ -251,9 +251,12 @@ def verified(pairs: DataFrame, light: DataFrame, sets: DataFrame, percent: int)
         "a", "b")
 
 
-def stars(sigs: DataFrame, seed: int) -> DataFrame:
-    """Each member of a signature with one leader, from another component."""
-    order = F.struct(F.xxhash64("id", F.lit(seed)).alias("h"), "id", "component")
+def stars(sigs: DataFrame, turn: int) -> DataFrame:
+    """Each member of a signature with one leader, from another component. In the first round
+    a set leads wherever it can, so that most members meet one leader however many signatures
+    they share; later rounds draw a leader for every signature."""
+    drawn = F.xxhash64("id", F.lit(turn)) if not turn else F.xxhash64("id", "sig", F.lit(turn))
+    order = F.struct(drawn.alias("h"), "id", "component")
     lead = sigs.groupBy("sig").agg(F.min(order).alias("lead"), F.min("component").alias("low"),
                                    F.max("component").alias("high")).where("low < high")
     pairs = sigs.join(lead.select("sig", "lead"), "sig").where(
@@ -335,15 +338,24 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
                   "ngram_bitmaps")
     sets = store(_sets_of(documents, classes.join(ids, "id"), size), "ngram_tokens")
 
-    links = []
+    links: list[DataFrame] = []
     component = ids.select("id", F.col("id").alias("component"))
-    for turn in range(ROUNDS + 1):
-        placed = sigs.join(component, "id")
-        pairs = stars(placed, turn) if turn < ROUNDS else blocks(placed, light, percent)
+
+    def merge(pairs: DataFrame) -> bool:
+        """Add the links among ``pairs``; whether there were any."""
+        nonlocal component
         links.append(store(verified(pairs, light, sets, percent), "ngram_links"))
+        if links[-1].isEmpty():
+            return False
         merged = components(reduce(DataFrame.unionByName, links))
         component = store(ids.join(merged, "id", "left").select(
             "id", F.coalesce("component", "id").alias("component")), "ngram_components")
+        return True
+
+    for turn in range(ROUNDS):
+        if not merge(stars(sigs.join(component, "id"), turn)) and turn:
+            break
+    merge(blocks(sigs.join(component, "id"), light, percent))
     return rows, classes.join(component, "id", "left").select(
         "d1", "d2", "n", F.coalesce("component", "id").alias("component"))
 
@@ -359,8 +371,9 @@ def link_components(documents: DataFrame, size: int = 3, percent: int = 90) -> D
     rows, classes = linked(documents, size, percent)
     placed = rows.join(classes, ["d1", "d2", "n"], "left").select("doc_id", "n", "component")
     placed = store(placed, "ngram_placed")
-    lowest = placed.where("component is not null").groupBy("component").agg(
-        F.min("doc_id").alias("component_id"))
+    # Written, so that the join shuffles plain rows and a large component is split.
+    lowest = store(placed.where("component is not null").groupBy("component").agg(
+        F.min("doc_id").alias("component_id")), "ngram_lowest")
     return placed.join(lowest, "component", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"))
