@@ -101,8 +101,8 @@ def chunks(documents: DataFrame) -> DataFrame:
 
 def repeats(documents: DataFrame, run: int = RUN, within: bool = False) -> DataFrame:
     """Passages that stand in an earlier document (or, ``within``, earlier in their own): ``row``, ``doc_id``, ``start``, ``length``
-    (bytes of the UTF-8 text), ``n_chunks``, ``first_doc_id`` (where its first chunk stands
-    first).
+    (bytes of the UTF-8 text), ``n_chunks``, ``first_doc_id`` (the first document
+    with one of its chunks).
 
     Earlier is by (doc_id with nulls first, row, start): of equal texts the first is left
     alone. A passage is a run of chunks, each a later occurrence of its digest, of ``run``
@@ -125,7 +125,7 @@ def repeats(documents: DataFrame, run: int = RUN, within: bool = False) -> DataF
     found = later.groupBy("row", "doc_id", "island").agg(
         F.min("start").alias("start"), F.sum("length").alias("length"),
         F.count(F.lit(1)).alias("n_chunks"),
-        F.min_by("first_doc_id", "start").alias("first_doc_id"))
+        F.min("first_doc_id").alias("first_doc_id"))
     return found.where(F.col("length") >= run).drop("island")
 
 

@@ -207,7 +207,7 @@ def build_index(distinct: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFram
     """Graphs of all nodes, one row per shard."""
     shards = bucket_count(distinct.count(), shard_nodes)
 
-    def run(key, held: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
         held = held.sort_values("node")
         graph = Graph.build(unit(np.stack(held["embedding"].to_numpy())).astype(np.float32))
         return pd.DataFrame({"dims": [key[0]], "shard": [key[1]],

@@ -22,7 +22,7 @@ MOST_TIMES = 3
 #: Words of a block at most, and blocks of a source at least (of a word or more).
 BLOCK, LEAST_BLOCKS = 1024, 1024
 #: Rows ranked in one task, about; cells that cut [0, 1) for the interval join.
-RANK_ROWS, CELLS = 20_000, 4096
+RANK_ROWS, CELLS = 5_000, 4096
 
 
 def sized(documents: DataFrame, size: Column) -> DataFrame:

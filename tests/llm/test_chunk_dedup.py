@@ -1,0 +1,115 @@
+"""Chunking next to a byte-by-byte version; planted passages; cuts."""
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from harvestry.llm import chunk_dedup
+
+SCHEMA = "doc_id long, text string, row string, start int"
+
+
+def plain_ends(raw, mean=chunk_dedup.MEAN, least=chunk_dedup.LEAST):
+    found, before = [], None
+    for at in range(1, len(raw)):
+        value = 0
+        for byte in raw[max(0, at - chunk_dedup.WINDOW):at]:
+            value = (value << 1) + int(chunk_dedup.GEAR[byte]) & 0xFFFFFFFF
+        if value >> chunk_dedup.WINDOW - 5 & mean - 1 == 0 and raw[at] & 0xC0 != 0x80:
+            if before is None or at - before >= least:
+                found.append(at)
+            before = at
+    return [*found, len(raw)] if raw else []
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from("abcdefgh éßñ日\n "), max_size=400))
+def test_ends_equal_plain(text):
+    raw = text.encode()
+    assert chunk_dedup.chunk_ends(raw).tolist() == plain_ends(raw)
+
+
+def test_ends_over_batches(monkeypatch):
+    raw = " ".join(str(i * 7919) for i in range(2000)).encode()
+    whole = chunk_dedup.chunk_ends(raw).tolist()
+    monkeypatch.setattr(chunk_dedup, "AT_ONCE", 333)
+    assert chunk_dedup.chunk_ends(raw).tolist() == whole
+
+
+def test_insertion_moves_only_near_chunks():
+    rng = random.Random(3)
+    raw = bytes(rng.randrange(97, 123) for _ in range(20_000))
+    cut = {raw[a:b] for a, b in spans(raw)}
+    other = raw[:9000] + b"inserted" + raw[9000:]
+    assert len({other[a:b] for a, b in spans(other)} - cut) <= 4
+
+
+def spans(raw):
+    ends = chunk_dedup.chunk_ends(raw).tolist()
+    return list(zip([0, *ends[:-1]], ends, strict=True))
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghinorstué") for _ in range(rng.randint(2, 9)))
+                    for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def planted(spark):
+    rng = random.Random(8)
+    passages = [words(rng, 55) for _ in range(20)]
+    texts = [words(rng, rng.randint(5, 400)) for _ in range(150)]
+    holds = {}
+    for at, passage in enumerate(passages):
+        for doc in rng.sample(range(150), 3):
+            if doc in holds:
+                continue
+            holds[doc] = at
+            place = rng.randrange(len(texts[doc]) + 1)
+            texts[doc] = texts[doc][:place] + " " + passage + " " + texts[doc][place:]
+    texts += [texts[0], None, "", "x" * 100_000, texts[5]]
+    rows = [(i, t, "r", 3) for i, t in enumerate(texts)]
+    return texts, holds, passages, spark.createDataFrame(rows, SCHEMA).repartition(3)
+
+
+def test_finds_planted_passages_only(planted):
+    texts, holds, passages, docs = planted
+    found = {}
+    for r in chunk_dedup.repeats(docs).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    first = {}
+    for doc in sorted(holds):
+        first.setdefault(holds[doc], doc)
+    later = {d for d, p in holds.items() if d != first[p]}
+    assert set(found) == later | {150, 154}
+    for doc in later:
+        r, raw = found[doc][0], texts[doc].encode()
+        assert r["first_doc_id"] == first[holds[doc]]
+        piece = raw[r["start"]:r["start"] + r["length"]]
+        assert piece in texts[r["first_doc_id"]].encode() and len(piece.split()) > 12
+    assert sum(r["length"] for r in found[150]) == len(texts[0].encode())
+
+
+def test_deduplicated(planted):
+    texts, holds, passages, docs = planted
+    out = chunk_dedup.deduplicated(docs)
+    assert out.columns == docs.columns
+    kept = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert len(kept) == len(texts) and kept[151] is None and kept[152] == ""
+    # Rows have no order of their own here: one of each pair of equal texts is emptied.
+    assert {kept[0], kept[150]} in ({texts[0], ""}, {kept[0], ""}, {kept[150], ""})
+    for doc in set(range(1, 150)) - set(holds) - {5}:
+        assert kept[doc] == texts[doc]
+    assert sum(map(len, filter(None, kept.values()))) < sum(map(len, filter(None, texts)))
+
+
+def test_within_a_document_and_no_rows(spark):
+    text = words(random.Random(1), 60)
+    docs = spark.createDataFrame([(1, text + "\n" + text, "r", 1)], SCHEMA)
+    assert chunk_dedup.repeats(docs).collect() == []
+    assert len(chunk_dedup.repeats(docs, within=True).collect()) == 1
+    assert chunk_dedup.repeats(docs.limit(0)).collect() == []
+    assert np.array_equal(chunk_dedup.chunk_ends(b""), [])
