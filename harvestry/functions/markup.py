@@ -51,9 +51,11 @@ class _TreeBuilder(HTMLParser):
         self.count = 0
         self.root = Node("", 0)
         self.open = [self.root]
+        self.text = None  # the text node that characters still go to
 
     def _add(self, *args, **kwargs):
         self.count += 1
+        self.text = None
         node = Node(args[0], self.count, *args[1:], **kwargs)
         self.open[-1].children.append(node)
         return node
@@ -74,19 +76,37 @@ class _TreeBuilder(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
+        self.text = None
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 del self.open[depth:]
                 break
 
     def handle_data(self, data):
-        self._add(None, text=data)
+        if self.text is None:
+            self.text = self._add(None, text=data)
+        else:  # the parser hands over one text in parts, as around a stray "<"
+            self.text.text += data
+
+    def handle_comment(self, data):
+        self.text = None
+
+    def parse_marked_section(self, i, report=1):
+        """A section is a bogus comment up to the next ">", as in browsers."""
+        self.text = None
+        end = self.rawdata.find(">", i + 3)
+        return end + 1 if end >= 0 else -1
 
 
 def tree(html: str) -> Node:
+    """The page as a tree. Any text is a page; should the parser fail all the same, the tree
+    is empty: nothing is selected, and the checks on required fields name the page."""
     builder = _TreeBuilder()
-    builder.feed(html)
-    builder.close()
+    try:
+        builder.feed(html)
+        builder.close()
+    except (AssertionError, ValueError, RecursionError):
+        return Node("", 0)
     return builder.root
 
 

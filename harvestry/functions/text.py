@@ -35,6 +35,8 @@ def title_case(text: Column) -> Column:
     def recase(run: Column) -> Column:
         first = F.substring(run, 1, 1)
         upper = F.upper(first)
+        # The digraphs that have a title form of their own.
+        upper = F.translate(upper, "ǄǇǊǱ", "ǅǈǋǲ")
         head = F.when(F.length(upper) > 1, first).otherwise(upper)
         return F.concat(head, F.lower(F.substring(run, 2, 2**31 - 1)))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ def in_domain(url: Column, domains: list[str]) -> Column:
     """Whether the host is one of the domains or lies below one; no domains allow all."""
     if not domains:
         return F.lit(True)
-    pattern = "|".join(domain.lower().replace(".", r"\.") for domain in domains)
+    pattern = "|".join(re.escape(domain.lower()) for domain in domains)
     return F.coalesce(host(url).rlike(rf"^(?:.*\.)?(?:{pattern})$"), F.lit(False))
 
 
@@ -41,6 +43,9 @@ def join_url(base: Column, href: Column) -> Column:
     """Resolve a link found on the page ``base`` (http or https) to an absolute URL."""
     site = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*)", 1)
     scheme = F.regexp_extract(base, _SCHEME, 1)
+    # The page's own scheme without slashes says nothing: the rest is a relative link.
+    bare = F.lower(F.regexp_extract(href, _SCHEME + "(?!//)", 1)) == F.lower(scheme)
+    href = F.when(bare, F.substring(href, F.length(scheme) + 2, F.length(href))).otherwise(href)
     base_path = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*([^?#]*)", 1)
     folder = F.concat(F.lit("/"), F.regexp_extract(base_path, r"^/(.*/)?", 1))
     path = F.regexp_extract(href, r"^([^?#]*)", 1)

@@ -124,31 +124,22 @@ def _claim(found: DataFrame, hrefs: list[Column]) -> DataFrame:
             .filter(F.col("rule").isNotNull()))
 
 
-# An anchor with a double-quoted link.
-ANCHOR_HREF = r'<a\b[^>]*\bhref="([^"]*)"'
-
-
-def anchor_hrefs(html: Column) -> Column:
-    """All anchor links by pattern: the JVM-side way when no tree context is needed."""
-    return F.regexp_extract_all(html, F.lit(ANCHOR_HREF), 1)
+ANCHORS = "//a/@href"
 
 
 def page_anchors(pages: DataFrame) -> DataFrame:
-    """(…, pos, href) for every anchor, matched by pattern inside the JVM."""
-    return (pages.select("*", F.posexplode_outer(anchor_hrefs(F.col("html")))
-                         .alias("pos", "href")).drop("html").filter(F.col("pos").isNotNull()))
+    """(…, pos, href) for the link of every anchor: any case and quoting, entities decoded,
+    none from comments or scripts. Only ``html`` crosses to Python."""
+    hrefs = F.get(markup.select_texts(F.col("html"), F.array(F.lit(ANCHORS))), F.lit(0))
+    return (pages.withColumn("_hrefs", hrefs).drop("html")
+            .select("*", F.posexplode_outer("_hrefs").alias("pos", "href")).drop("_hrefs")
+            .filter(F.col("pos").isNotNull()))
 
 
 def anchors_by_region(pages: DataFrame, regions: list[str | None]) -> DataFrame:
-    """Like :func:`page_links` for regions given as tag names (None: the whole page),
-    matched by pattern inside the JVM."""
-    def within(tag: str | None) -> Column:
-        if tag is None:
-            return anchor_hrefs(F.col("html"))
-        return F.flatten(F.transform(
-            F.regexp_extract_all("html", F.lit(rf"(?s)<{tag}\b.*?</{tag}>"), 0), anchor_hrefs))
-
-    return _claim(pages, [within(tag) for tag in regions]).drop("html")
+    """Like :func:`page_links` for regions given as tag names (None: the whole page)."""
+    return page_links(pages, [f"//{tag}{ANCHORS}" if tag else ANCHORS
+                              for tag in regions]).drop("html")
 
 
 def rule_rows(rules: DataFrame, url: str = "url") -> DataFrame:

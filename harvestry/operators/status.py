@@ -14,12 +14,16 @@ TARGET_PREFIX = "deploy:"
 
 
 def target_config(settings: DataFrame) -> DataFrame:
-    """(target, key, value) from (section, key, value).
+    """(target, key, value) from (section, key, value) and, where there is one, ``pos``.
 
     Every ``deploy:<name>`` section is a target that starts from the base section's keys and
-    overrides them. The base itself is the target "default" if it has a ``url``. The base
-    section is one small map, read as a scalar subquery.
+    overrides them. The base itself is the target "default" if it has a ``url``. Of a key
+    that a section repeats, the one of the highest ``pos`` holds (the largest value, without
+    positions or at equal ones). The base section is one small map, read as a scalar subquery.
     """
+    pos = F.col("pos") if "pos" in settings.columns else F.lit(0)
+    settings = settings.groupBy("section", "key").agg(
+        F.max_by("value", F.struct(pos, F.col("value"))).alias("value"))
     pairs = F.map_from_entries(F.collect_list(F.struct("key", "value")))
     base = settings.filter(F.col("section") == BASE_SECTION)
     defaults = base.agg(pairs.alias("m")).select("m").scalar()

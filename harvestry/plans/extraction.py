@@ -54,7 +54,7 @@ def page_fields(spark, sf_dir):
       SELECT page_id, url, regexp_extract_all(html, '<a\\b[^>]*\\bhref="([^"]*)"', 1) AS hrefs
       FROM pages))""")
 def page_links(spark, sf_dir):
-    """All anchors of a page by pattern, inside the JVM."""
+    """All anchors of a page."""
     found = extract.page_anchors(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return found.select("page_id", F.col("pos").cast("long").alias("pos"), "href",
                         urls.join_url(F.col("url"), F.col("href")).alias("link"))
@@ -80,7 +80,7 @@ def page_links_by_rule(spark, sf_dir):
 
 @query(_BY_RULE)
 def page_links_by_region(spark, sf_dir):
-    """The same by pattern, inside the JVM."""
+    """The same for regions given by tag name."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract.anchors_by_region(pages, ["nav", None]).select("page_id", "rule", "link")
 

@@ -58,24 +58,23 @@ def boost_words_stream(spark, sf_dir):
     return shifts.select("word", *to6("shift"))
 
 
-@query(f"""WITH {sums_sql(HOUR)},
-    closed AS (SELECT * FROM sums WHERE (tick + 1) * {HOUR * 1000000} <=
-                 (SELECT max(scraped) // 1000 * 1000 FROM lives) - {HOUR * 1000000})
-    {rates_sql(HOUR, 'closed')}""")
+@query(f"""WITH {sums_sql(HOUR)} {rates_sql(HOUR, 'sums')}""")
 def interval_metrics_stream(spark, sf_dir):
-    """Hourly metrics appended as the watermark, an hour behind, passes each interval."""
+    """Hourly metrics of events that arrive in several batches and in no order of time."""
     root = scratch_path(spark, "intervals")
+    events = table(spark, sf_dir, "events")
+    events.withColumn("batch", F.pmod(F.xxhash64("event_id"), F.lit(FEED_BATCHES))).repartition(
+        FEED_BATCHES, "batch").write.parquet(f"{root}/events")
     session = stream_session(spark)
-    events = stream_table(session, f"{sf_dir}/events.parquet",
-                          table(spark, sf_dir, "events").schema)
-    # Watermarks need instants; the stream's session takes the zone-less moments as UTC.
-    items = with_lifecycle(events).withColumns({
+    feed = stream_table(session, f"{root}/events", events.schema, files_per_trigger=1)
+    # Windows need instants; the stream's session takes the zone-less moments as UTC.
+    items = with_lifecycle(feed).withColumns({
         name: F.col(name).cast("timestamp")
         for name in ("schedule_time", "received_time", "scraped_time")})
-    running = metrics.start_intervals(items, f"{root}/out", f"{root}/checkpoint", HOUR, "1 hour",
+    running = metrics.start_intervals(items, f"{root}/out", f"{root}/checkpoint", HOUR,
                                       availableNow=True)
     running.awaitTermination()
-    found = spark.read.parquet(f"{root}/out").withColumn(
+    found = metrics.read_intervals(session, f"{root}/out", HOUR).withColumn(
         "start", moment(F.unix_micros("start"), T.TimestampNTZType()))
     return found.select(stamp("start").alias("start"), "items",
                         *to6("rate", "latency", "pipeline"))
@@ -83,11 +82,12 @@ def interval_metrics_stream(spark, sf_dir):
 
 @query("SELECT DISTINCT 'http://web:9312/item/' || l_partkey AS url FROM lineitem")
 def url_dedup_stream(spark, sf_dir):
-    """Requests per line item, each URL passed on once."""
+    """Requests per line item in several batches, each URL passed on once."""
     root = scratch_path(spark, "dedup")
     session = stream_session(spark)
-    lines = stream_table(session, f"{sf_dir}/lineitem.parquet",
-                         table(spark, sf_dir, "lineitem").schema)
+    source = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    source.repartition(FEED_BATCHES, "l_orderkey").write.parquet(f"{root}/lines")
+    lines = stream_table(session, f"{root}/lines", source.schema, files_per_trigger=1)
     requests = lines.select(F.concat(F.lit("http://web:9312/item/"),
                                      F.col("l_partkey").cast("string")).alias("url"))
     frontier.start_dedup(requests, f"{root}/out", f"{root}/checkpoint",

@@ -43,16 +43,18 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_settings(spark: SparkSession, path: str) -> DataFrame:
-    """A sectioned settings file as (section, key, value); comment lines are skipped."""
+    """A sectioned settings file as (section, key, value, pos); comment lines are skipped.
+    ``pos`` orders the settings of a file: sections and keys may repeat."""
     text = spark.read.text(path, wholetext=True)
-    sections = text.select(F.inline(F.arrays_zip(
+    sections = text.select(F.posexplode(F.arrays_zip(
         F.regexp_extract_all("value", F.lit(_SECTION), 1).alias("section"),
-        F.regexp_extract_all("value", F.lit(_SECTION), 2).alias("body"))))
-    lines = sections.select("section", F.inline(F.arrays_zip(
-        F.regexp_extract_all("body", F.lit(_SETTING), 1).alias("key"),
-        F.regexp_extract_all("body", F.lit(_SETTING), 2).alias("value"))))
-    return lines.select("section", F.lower(F.trim("key")).alias("key"),
-                        F.trim("value").alias("value"))
+        F.regexp_extract_all("value", F.lit(_SECTION), 2).alias("body"))).alias("at", "part"))
+    lines = sections.select("at", "part.section", F.posexplode(F.arrays_zip(
+        F.regexp_extract_all("part.body", F.lit(_SETTING), 1).alias("key"),
+        F.regexp_extract_all("part.body", F.lit(_SETTING), 2).alias("value")))
+        .alias("line", "own"))
+    return lines.select("section", F.lower(F.trim("own.key")).alias("key"),
+                        F.trim("own.value").alias("value"), F.struct("at", "line").alias("pos"))
 
 
 def stream_table(spark: SparkSession, path: str, schema: T.StructType,

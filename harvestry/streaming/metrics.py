@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from harvestry.operators.metrics import interval_rates, interval_sums
 
 
 def start_intervals(items: DataFrame, out: str, checkpoint: str, seconds: int,
-                    delay: str = "1 hour", **trigger) -> StreamingQuery:
-    """Append each interval's metrics once the watermark has passed its end; items later
-    than ``delay`` are dropped, which bounds the state."""
-    rates = interval_rates(
-        interval_sums(items.withWatermark("scraped_time", delay), seconds), seconds)
-    return (rates.writeStream.outputMode("append").format("parquet")
-            .option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"processingTime": f"{seconds} seconds"})).start(out))
+                    **trigger) -> StreamingQuery:
+    """Publish the sums of every interval that a micro-batch touches, as one folder per batch.
+
+    No item is too late: it raises its interval's sums, and the next batch folder holds the
+    new ones. The state is one row per interval, whatever the number of items. A repeated
+    batch rewrites its folder with the same rows.
+    """
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return (interval_sums(items, seconds).writeStream.outputMode("update")
+            .foreachBatch(publish).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": f"{seconds} seconds"})).start())
+
+
+def read_intervals(spark: SparkSession, out: str, seconds: int) -> DataFrame:
+    """The metrics of every interval so far, open ones included, from the published sums."""
+    published = spark.read.parquet(out)
+    last = published.groupBy("start").agg(F.max("batch_id").alias("batch_id"))
+    return interval_rates(published.join(last, ["start", "batch_id"]), seconds)

@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from harvestry.functions import markup
@@ -148,3 +150,39 @@ def test_pages_are_parsed_once(spark):
     cards = extract.select_cards(pages(spark, ("http://x/", INDEX)), "//li", {"t": ".//h3/text()"})
     plan = cards.select(F.get("t", F.lit(0)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+TRICKY = """<!-- <a href="no"> --><script>var a = '<a href="no">';</script>
+<p>flat < 2 km</p><A HREF='u'>1</A><a href=v>2</a><a class="x" href="s?a=1&amp;b=2">3</a>
+<![foo[y]]><![ x><nav><a href="n">4</a></nav><a name="none">5</a>"""
+
+
+def test_all_anchors(spark):
+    frame = pages(spark, ("http://x/y/", TRICKY))
+    hrefs = [r.href for r in extract.page_anchors(frame).orderBy("pos").collect()]
+    assert hrefs == ["u", "v", "s?a=1&b=2", "n"]
+    by_tree = [r.link for r in extract.page_links(frame, ["//nav//a/@href", "//a/@href"])
+               .orderBy("rule").collect()]
+    by_region = [r.link for r in extract.anchors_by_region(frame, ["nav", None])
+                 .orderBy("rule").collect()]
+    assert by_tree == by_region == [
+        "http://x/y/n", "http://x/y/u", "http://x/y/v", "http://x/y/s?a=1&b=2"]
+
+
+def test_one_text_per_run(spark):
+    root = markup.tree("<h1>flat < 2 km &amp; more</h1><p>a<!-- c -->b</p><p>a</i>b</p>")
+    steps = markup.compile_path("//h1/text()")
+    assert markup.texts(root, root, "//h1/text()", steps) == ["flat < 2 km & more"]
+    assert markup.texts(root, root, "//p/text()", markup.compile_path("//p/text()")) == [
+        "a", "b", "a", "b"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<![", "<!", "<!--", "-->", "]]>", "[", "]", "<", ">", "</", "<a ", "href=", '"', "'", "x",
+     " ", "<?", "<![CDATA[", "<!DOCTYPE", "&", "&#", "&#x110000;", "<p>", "<script>",
+     "</script>", "<textarea>", "/>", "\x00"]), max_size=20).map("".join))
+def test_any_markup_is_a_page(page):
+    root = markup.tree(page)
+    for path in ("//a/@href", "//p/text()", "//*"):
+        markup.select(root, markup.compile_path(path))

@@ -157,3 +157,13 @@ def test_micros_do_not_depend_on_the_zone(spark):
         assert [r[0] for r in instants.select(micros(instants, "x")).collect()] == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_later_settings_win(spark, tmp_path):
+    from harvestry.sources.files import read_settings
+    (tmp_path / "x.cfg").write_text(
+        "[deploy]\nproject = a\nproject = b\n[deploy:s]\nurl = one\n# url = no\nurl: two\n"
+        "[deploy]\nproject = c\n[deploy:s]\nkey = z\nkey = y\n")
+    found = status.target_config(read_settings(spark, str(tmp_path / "x.cfg")))
+    assert sorted(map(tuple, found.collect())) == [
+        ("s", "key", "y"), ("s", "project", "c"), ("s", "url", "two")]

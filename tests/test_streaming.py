@@ -112,20 +112,20 @@ def lives(*seconds):
              "scraped_time": f"2015-01-01T00:00:{s + 1:02d}Z"} for s in seconds]
 
 
-def test_intervals_close_behind_the_watermark(spark, tmp_path):
+def test_late_items_raise_their_interval(spark, tmp_path):
     schema = "schedule_time timestamp, received_time timestamp, scraped_time timestamp"
 
     def run():
         items = stream_session(spark).readStream.schema(schema).json(str(tmp_path / "in"))
         metrics.start_intervals(items, str(tmp_path / "out"), str(tmp_path / "checkpoint"), 5,
-                                "2 seconds", availableNow=True).awaitTermination(120)
-        found = spark.read.parquet(str(tmp_path / "out")).orderBy("start").collect()
-        return [(r.start.second, r["items"], r.latency) for r in found]
+                                availableNow=True).awaitTermination(120)
+        found = metrics.read_intervals(spark, str(tmp_path / "out"), 5).orderBy("start")
+        return [(r.start.second, r["items"], r.latency) for r in found.collect()]
 
     put(tmp_path / "in", "1.jl", *lives(0, 1, 12))
-    assert run() == [(0, 2, 1.0)]
-    put(tmp_path / "in", "2.jl", *lives(3, 30))  # 3 is too late
     assert run() == [(0, 2, 1.0), (10, 1, 1.0)]
+    put(tmp_path / "in", "2.jl", *lives(3, 30))  # 3 is late, and counts
+    assert run() == [(0, 3, 1.0), (10, 1, 1.0), (30, 1, 1.0)]
 
 
 def test_cache_grows_with_the_stream(spark, tmp_path):
