@@ -25,8 +25,8 @@ def first_address() -> Column:
     return F.get("address", F.lit(0))
 
 
-# The lookup column. Stages that find it on the items use and keep it, so that consecutive
-# lookups share one shuffle by address; otherwise each adds and drops its own.
+# The lookup column. Stages that find it on the items use and keep it; otherwise each adds
+# and drops its own.
 ADDRESS = "_address"
 
 
@@ -39,22 +39,33 @@ def without_address(items: DataFrame) -> DataFrame:
     return items.drop(ADDRESS)
 
 
+def _rebuilt(key: Column) -> Column:
+    """The same key to the join, another expression to the planner."""
+    return F.concat(key, F.lit(""))
+
+
 def _look_up(items: DataFrame, found: DataFrame, fill) -> DataFrame:
     """Left join on the address with ``found`` (_address, _found), then ``fill``.
 
     Every row joins, also those that need no lookup: NULLed keys would all meet in one
-    partition. A very common address is left to AQE's skew join.
+    partition. Both sides join on a key built here, which neither is partitioned by: so both
+    are plain shuffles, and AQE splits the partition of a very common address without any
+    setting. (Sharing one shuffle between lookups would keep it whole.)
     """
     keyed = items if ADDRESS in items.columns else with_address(items)
-    done = fill(keyed.join(found, ADDRESS, "left")).drop("_found")
+    keyed = keyed.withColumn("_key", _rebuilt(F.col(ADDRESS)))
+    found = found.select(_rebuilt(F.col(ADDRESS)).alias("_key"), "_found")
+    done = fill(keyed.join(found, "_key", "left")).drop("_found", "_key")
     return done.select(*[c for c in done.columns if c != ADDRESS or c in items.columns])
 
 
 def from_cache(items: DataFrame, cache: DataFrame, namespace: str = NAMESPACE) -> DataFrame:
-    """Fill ``location`` from ``cache`` (key, value; one row per key) where it is missing.
-    Values are decoded ahead of the join, once per entry."""
+    """Fill ``location`` from ``cache`` (key, value) where it is missing. Of a key that
+    repeats, the largest value holds, so that no item is multiplied. Values are decoded ahead
+    of the join, once per entry."""
     prefix = cache_key(F.lit(""), namespace)
-    entries = cache.filter(F.startswith("key", prefix)).select(
+    entries = cache.filter(F.startswith("key", prefix)).groupBy("key").agg(
+        F.max("value").alias("value")).select(
         F.substring("key", len(namespace) + 2, 2**31 - 1).alias(ADDRESS),
         cached_location(F.col("value")).alias("_found"))
     return _look_up(items, entries, lambda joined: joined.withColumn(
@@ -140,14 +151,17 @@ def geo_counters(items: DataFrame, settled: DataFrame) -> DataFrame:
 
 def translate(items: DataFrame, text: Column, calculated: bool = False,
               sources: tuple[DataFrame, ...] = ()) -> DataFrame:
-    """Add ``translation``: the last of ``sources`` (text, translation; one row per text)
-    that knows the item's text, else "calculated-<text>" if asked for, else "N/A"."""
+    """Add ``translation``: the last of ``sources`` (text, translation; the largest one of a
+    text that repeats) that knows the item's text, else "calculated-<text>" if asked for, else "N/A"."""
     items = items.withColumn("_text", text)
     names = []
     for i, source in enumerate(sources):
         names.insert(0, f"_t{i}")
-        items = items.join(source.select(F.col("text").alias("_text"),
-                                         F.col("translation").alias(f"_t{i}")), "_text", "left")
+        # A key of its own for each source: plain shuffles, which AQE splits at hot texts.
+        known = source.groupBy("text").agg(F.max("translation").alias(f"_t{i}")).select(
+            _rebuilt(F.col("text")).alias("_key"), f"_t{i}")
+        items = items.withColumn("_key", _rebuilt(F.col("_text"))).join(
+            known, "_key", "left").drop("_key")
     if calculated:
         items = items.withColumn("_calculated", F.concat(F.lit("calculated-"), F.col("_text")))
         names.append("_calculated")

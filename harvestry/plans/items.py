@@ -173,7 +173,9 @@ def upsert_rows(spark, sf_dir):
         F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     old = items(table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"),
                 F.col("p_retailprice"), F.col("p_type"), F.lit(-1).cast("long"))
-    return rows.upsert(rows.upsert_rows(old).drop("seq"), rows.upsert_rows(new))
+    done = rows.upsert(rows.upsert_rows(old, cut_key=True).drop("seq"),
+                       rows.upsert_rows(new, cut_key=True))
+    return done.drop("key")
 
 
 def legacy_sql(price: str) -> str:

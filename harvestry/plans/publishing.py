@@ -66,7 +66,7 @@ def finished_items(spark, sf_dir):
     FROM part""")
 def published_rows(spark, sf_dir):
     """What the target table receives."""
-    return rows.upsert_rows(finished_items(spark, sf_dir)).drop("seq")
+    return rows.upsert_rows(finished_items(spark, sf_dir)).drop("key", "seq")
 
 
 @query(f"""

@@ -19,14 +19,16 @@ def item_documents(items: DataFrame, collection: str | None = None) -> DataFrame
         "collection", F.lit(collection))
 
 
-def upsert_rows(items: DataFrame, seq: str = "seq") -> DataFrame:
-    """(url, title, price, description, seq): items cut to the table's widths. Items lacking
-    any of the four are skipped."""
+def upsert_rows(items: DataFrame, seq: str = "seq", cut_key: bool = False) -> DataFrame:
+    """(key, url, title, price, description, seq): items cut to the table's widths. Items
+    lacking any of the four are skipped. The key is the whole URL, or with ``cut_key`` what
+    the table's column holds of it, as where that column is the key."""
     def first(field):
         return F.get(field, F.lit(0))
 
+    cut = fits(first("url"), URL_WIDTH)
     rows = items.select(
-        fits(first("url"), URL_WIDTH).alias("url"), fits(first("title"), TEXT_WIDTH).alias("title"),
+        (cut if cut_key else first("url")).alias("key"), cut.alias("url"), fits(first("title"), TEXT_WIDTH).alias("title"),
         first("price").alias("price"),
         fits(one_line(first("description")), TEXT_WIDTH).alias("description"),
         F.col(seq).alias("seq"))
@@ -34,14 +36,19 @@ def upsert_rows(items: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def upsert(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """The target after replacing by key: per (cut) url the row with the highest ``seq``;
-    rows already in the target are older than all new ones. An aggregate rather than a
-    ranking window: versions of one url collapse before the shuffle."""
-    old = target.select("url", "title", "price", "description",
-                        F.lit(None).cast("long").alias("seq"))
-    last = F.max(F.struct("seq", "title", "price", "description"))
-    return (old.unionByName(rows).groupBy("url").agg(last.alias("_last"))
-            .select("url", "_last.title", "_last.price", "_last.description"))
+    """The target after replacing by ``key``: of the new rows the one with the highest
+    ``seq`` (equal ones are settled by a hash of the row), else the target's own.
+
+    The target only loses the keys that are written. Of the new rows the numbers are
+    aggregated, by hash and before the shuffle; the winning row is joined to them."""
+    columns = ["key", "url", "title", "price", "description"]
+    rows = rows.withColumn("_tie", F.xxhash64(*columns))
+    newest = rows.groupBy("key").agg(F.max("seq").alias("seq"))
+    latest = rows.join(newest, ["key", "seq"])
+    chosen = latest.groupBy("key").agg(F.max("_tie").alias("_tie"))
+    new = latest.join(chosen, ["key", "_tie"]).select(*columns).distinct()
+    kept = target.select(*columns).join(newest.select("key"), "key", "left_anti")
+    return kept.unionByName(new)
 
 
 def image_manifest(items: DataFrame) -> DataFrame:

@@ -49,7 +49,9 @@ def test_geocode_with_retries(spark):
         7: "found"}
 
 
-def test_lookups_share_one_shuffle(spark):
+def test_lookups_read_plain_shuffles(spark):
+    """Each side of each lookup is a shuffle of its own: sharing one between lookups, as before,
+    kept AQE from splitting a hot address."""
     items, cache, replies = scenario(spark)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -58,8 +60,7 @@ def test_lookups_share_one_shuffle(spark):
         plan = done._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # Items, cache and replies are shuffled once each.
-    assert plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("Exchange hashpartitioning(_key") == 4
     assert done.count() == 7 and "_address" in done.columns
 
 
@@ -112,30 +113,41 @@ def test_price_stages(spark):
 
 
 def test_hot_address_is_split(spark):
-    """An address held by most items: the join's big partition is split by AQE."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
-    }
-    before = {key: spark.conf.get(key, None) for key in settings}
-    try:
-        for key, value in settings.items():
-            spark.conf.set(key, value)
-        hot = spark.range(0, 200000, 1, 8).select(
-            F.col("id").alias("seq"),
-            F.array(F.when(F.col("id") % 10 < 8, "hot").otherwise(F.col("id").cast("string")))
-            .alias("address"),
-            F.lit(None).cast("struct<lat:double,lon:double>").alias("location"))
-        settled = spark.range(0, 200000).select(
-            F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("address"),
-            F.struct(F.lit(1.0).alias("lat"), F.lit(2.0).alias("lon")).alias("found"))
-        done = enrich.from_replies(hot, settled)
-        rows = done.collect()
-        assert len(rows) == 200000 and sum(r.geo == "found" for r in rows) == 199999 + 1
-        assert "isSkewJoin=true" in done._jdf.queryExecution().executedPlan().toString() \
-            or "skewed" in done._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    """An address held by most items, through settled replies and a cache ahead of them: AQE
+    splits both joins, in a session without settings of the library's own."""
+    session = spark.newSession()
+    for key, value in {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}.items():
+        session.conf.set(key, value)
+    address = F.when(F.col("id") % 10 < 8, "hot").otherwise(F.col("id").cast("string"))
+    hot = session.range(0, 200000, 1, 8).select(
+        F.col("id").alias("seq"), F.array(address).alias("address"),
+        F.lit(None).cast("struct<lat:double,lon:double>").alias("location"))
+    body = json.dumps({"status": "OK", "results": [
+        {"geometry": {"location": {"lat": 1.0, "lng": 2.0}}}]})
+    replies = session.range(0, 200000).select(
+        F.when(F.col("id") == 0, "hot").otherwise(F.col("id").cast("string")).alias("address"),
+        F.lit(0).alias("attempt"), F.lit(body).alias("body"))
+    cache = session.range(0, 1000).select(
+        F.concat(F.lit("ADDRESS_CACHE:k"), F.col("id").cast("string")).alias("key"),
+        F.lit('{"lat":1.0,"lon":1.0}').alias("value"))
+    done = enrich.from_replies(enrich.from_cache(enrich.with_address(hot), cache),
+                               enrich.settle_replies(replies))
+    rows = done.collect()
+    assert len(rows) == 200000 and all(r.geo == "found" for r in rows)
+    plan = done._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("SortMergeJoin(skew=true)") == 2
+
+
+def test_repeated_cache_keys_multiply_nothing(spark):
+    items = spark.createDataFrame([(["a"], None)], "address array<string>, "
+                                  "location struct<lat:double,lon:double>")
+    cache = spark.createDataFrame([("ADDRESS_CACHE:a", '{"lat":1.0,"lon":1.0}'),
+                                   ("ADDRESS_CACHE:a", '{"lat":2.0,"lon":1.0}')],
+                                  "key string, value string")
+    assert [r.location.lat for r in enrich.from_cache(items, cache).collect()] == [2.0]

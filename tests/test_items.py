@@ -116,11 +116,19 @@ def test_upsert(spark):
         row("http://cut", "t" * 40, 6.0, "one\r\ntwo\n" + "y" * 40, 4),
     ], "url array<string>, title array<string>, price array<double>, description array<string>,"
        " seq long")
-    old = spark.createDataFrame([("http://a", "old", 0.0, "o"), ("http://kept", "k", 0.0, "o")],
-                                "url string, title string, price double, description string")
-    found = {r.url: (r.title, r.price, r.description)
-             for r in rows.upsert(old, rows.upsert_rows(items)).collect()}
-    assert found == {
+    old = spark.createDataFrame(
+        [("http://a", "http://a", "old", 0.0, "o"), ("http://kept", "http://kept", "k", 0.0, "o")],
+        "key string, url string, title string, price double, description string")
+
+    def upserted(**options):
+        done = rows.upsert(old, rows.upsert_rows(items, **options))
+        assert "SortAggregate" not in done._jdf.queryExecution().executedPlan().toString()
+        return {r.key: (r.url, r.title, r.price, r.description) for r in done.collect()}
+
+    whole = upserted()
+    assert {k: v for k, v in whole.items() if k.startswith(LONG)} == {
+        LONG + "1": (LONG[:100], "first", 3.0, "d"), LONG + "2": (LONG[:100], "last", 4.0, "d")}
+    assert {k: v[1:] for k, v in upserted(cut_key=True).items()} == {
         "http://a": ("new", 2.0, "d"),
         "http://kept": ("k", 0.0, "o"),
         LONG[:100]: ("last", 4.0, "d"),
