@@ -89,3 +89,16 @@ def run_stages(items: DataFrame, stages: Iterable[tuple[int, Stage | None]]) ->
     for _, stage in sorted(((n, s) for n, s in stages if s is not None), key=lambda p: p[0]):
         items = items.transform(stage)
     return items
+
+
+def with_hooks(extract: Stage, before: Iterable[Stage] = (), after: Iterable[Stage] = ()) -> Stage:
+    """``extract`` between hooks: ``before`` sees the pages (requests) first to last, ``after``
+    the items it makes, last to first, as nested layers do."""
+    def hooked(pages: DataFrame) -> DataFrame:
+        for hook in before:
+            pages = pages.transform(hook)
+        items = pages.transform(extract)
+        for hook in reversed(list(after)):
+            items = items.transform(hook)
+        return items
+    return hooked

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.operators import enrich
+from harvestry.functions.urls import image_path
+from harvestry.operators import enrich, extract
 from harvestry.operators import items as ops
 from harvestry.plans.registry import query, table, to6
 from harvestry.schemas import CORRUPT
 from harvestry.session import scratch_path, spread
 from harvestry.sinks import rows
 from harvestry.sources.files import read_items
+from harvestry.streaming.signals import observe_items
 
 
 def part_items(spark, sf_dir) -> DataFrame:
@@ -200,3 +202,57 @@ def price_chain(spark, sf_dir):
         F.get("price", F.lit(0)).alias("chained"),
         F.get("price", F.lit(1)).cast("int").alias("second")).select(
         "p_partkey", *to6("legacy", "chained"), "second")
+
+
+@query("""
+    SELECT 'full/' || sha1(url) || '.jpg' AS path, url, md5(min(html)) AS checksum
+    FROM pages GROUP BY url""")
+def image_checksums(spark, sf_dir):
+    """The manifest's images with the checksums of the stored files: pages stand in for them."""
+    pages = table(spark, sf_dir, "pages").groupBy("url").agg(F.min("html").alias("html"))
+    manifest = rows.image_manifest(pages.select(F.array("url").alias("image_urls")))
+    root = "store://images"
+    files = pages.select(F.concat(F.lit(root + "/"), image_path(F.col("url"))).alias("path"),
+                         F.encode("html", "UTF-8").alias("content"))
+    return rows.image_records(manifest, files, root)
+
+
+@query(f"""
+    SELECT p_partkey, round({legacy_sql('(p_retailprice + 1)')}, 6) AS price,
+           p_retailprice AS listed FROM part""")
+def stages_off(spark, sf_dir):
+    """Pipeline stages by number, two of them switched off."""
+    items = table(spark, sf_dir, "part").select(
+        "p_partkey", F.array("p_retailprice").alias("price"),
+        F.col("p_retailprice").alias("listed"))
+    done = ops.run_stages(items, [
+        (300, enrich.legacy_pricing), (100, None), (200, enrich.add_surcharge), (400, None)])
+    return done.select("p_partkey", F.round(F.get("price", F.lit(0)), 6).alias("price"),
+                       "listed")
+
+
+@query("""
+    SELECT 'item_dropped' AS signal, count(*) FILTER (p_size IN (13, 7)) AS n FROM part
+    UNION ALL SELECT 'item_scraped', count(*) FILTER (p_size NOT IN (13, 7)) FROM part""")
+def observed_signals(spark, sf_dir):
+    """Items scraped and dropped, counted by an observation while a sink reads them."""
+    judged = ops.judge(part_items(spark, sf_dir), [
+        (F.col("p_size") == 13, "unlucky"), (F.col("p_size") == 7, "lucky")])
+    watched, counts = observe_items(judged)
+    watched.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(sorted(counts.get.items()), "signal string, n long")
+
+
+@query("""
+    SELECT page_id, lower(url) AS url, count(*) AS links FROM (
+      SELECT page_id, url, unnest(regexp_extract_all(html, '<a\\b[^>]*\\bhref="([^"]*)"', 1))
+      FROM pages WHERE length(html) > 2000) GROUP BY ALL""")
+def hooked_links(spark, sf_dir):
+    """Extraction between hooks: short pages are held back before it; after it links are
+    counted per page, then addresses put in lower case."""
+    extracted = ops.with_hooks(
+        extract.page_anchors, before=[lambda pages: pages.where("length(html) > 2000")],
+        after=[lambda counted: counted.withColumn("url", F.lower("url")),
+               lambda links: links.groupBy("page_id", "url").agg(
+                   F.count(F.lit(1)).alias("links"))])
+    return extracted(table(spark, sf_dir, "pages").select("page_id", "url", "html"))

@@ -94,12 +94,9 @@ def _gauge_sql(name: str, moment: str, amount: str) -> str:
             f"{amount} AS change FROM lives")
 
 
-INFLIGHT_SQL = f"""WITH {LIVES_SQL},
-    changes AS ({' UNION ALL '.join([
-        _gauge_sql('scheduled', 'sched', '1'), _gauge_sql('scheduled', 'recv', '-1'),
-        _gauge_sql('scraping', 'recv', '1'), _gauge_sql('scraping', 'scraped', '-1'),
-        _gauge_sql('done', 'scraped', '1'),
-        _gauge_sql('bytes', 'recv', 'size'), _gauge_sql('bytes', 'scraped', '-size')])}),
+def gauges_sql(changes: str) -> str:
+    return f"""WITH {LIVES_SQL},
+    changes AS ({changes}),
     per_tick AS (SELECT gauge, tick, sum(change) AS change FROM changes GROUP BY 1, 2),
     ticks AS (SELECT unnest(range(min(tick), max(tick) + 1)) AS tick FROM per_tick),
     dense AS (SELECT g.gauge, t.tick FROM ticks t, (SELECT DISTINCT gauge FROM changes) g)
@@ -108,6 +105,13 @@ INFLIGHT_SQL = f"""WITH {LIVES_SQL},
     FROM dense LEFT JOIN per_tick USING (gauge, tick)"""
 
 
+INFLIGHT_SQL = gauges_sql(" UNION ALL ".join([
+    _gauge_sql("scheduled", "sched", "1"), _gauge_sql("scheduled", "recv", "-1"),
+    _gauge_sql("scraping", "recv", "1"), _gauge_sql("scraping", "scraped", "-1"),
+    _gauge_sql("done", "scraped", "1"),
+    _gauge_sql("bytes", "recv", "size"), _gauge_sql("bytes", "scraped", "-size")]))
+
+
 @query(INFLIGHT_SQL)
 def inflight_gauges(spark, sf_dir):
     """What was in flight at every full minute."""
@@ -125,6 +129,54 @@ def gauge_lines(spark, sf_dir):
     return metrics.gauge_table(samples, GAUGES).select("tick", "line")
 
 
+STATES = [
+    metrics.Gauge("scheduled", "schedule_time", "fetch_time"),
+    metrics.Gauge("downloading", "fetch_time", "received_time"),
+    metrics.Gauge("scraping", "received_time", "scraped_time"),
+    metrics.Gauge("in pipeline", "scraped_time", "stored_time"),
+    metrics.Gauge("done", "stored_time"),
+    metrics.Gauge("bytes", "received_time", "scraped_time", "size"),
+]
+_STATE_SQL = " UNION ALL ".join([
+    _gauge_sql("scheduled", "sched", "1"), _gauge_sql("scheduled", "asked", "-1"),
+    _gauge_sql("downloading", "asked", "1"), _gauge_sql("downloading", "recv", "-1"),
+    _gauge_sql("scraping", "recv", "1"), _gauge_sql("scraping", "scraped", "-1"),
+    _gauge_sql("in pipeline", "scraped", "1"), _gauge_sql("in pipeline", "stored", "-1"),
+    _gauge_sql("done", "stored", "1"),
+    _gauge_sql("bytes", "recv", "size"), _gauge_sql("bytes", "scraped", "-size")])
+
+
+@query(gauges_sql(_STATE_SQL.replace("FROM lives", """FROM (
+    SELECT *, sched + (size - 1000) // 2 * 1000000 AS asked,
+           scraped + (size - 1000) % 7 * 1000000 AS stored FROM lives)""")))
+def inflight_states(spark, sf_dir):
+    """All six states a lifecycle passes: the download starts halfway to the reply, and the
+    pipelines take up to six seconds."""
+    def later(moment, seconds):
+        return F.col(moment) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+    k = F.col("size") - 1000
+    items = lifecycles(spark, sf_dir).withColumns({
+        "fetch_time": later("schedule_time", F.floor(k / 2)),
+        "stored_time": later("scraped_time", k % 7)})
+    return metrics.gauges(items, STATES, MINUTE)
+
+
+@query(f"""WITH {sums_sql(HOUR)}
+    SELECT strftime(make_timestamp(CAST(tick * {HOUR * 1000000} AS BIGINT)),
+                    '%Y-%m-%d %H:%M:%S') AS start,
+           format('Scraped {{:d}} items at {{:.1f}} items/s, avg latency: {{:.2f}} s and avg '
+                  || 'time in pipelines: {{:.2f}} s', items, round(items / {HOUR}.0, 1),
+                  CAST(round(CAST(latency_us / items / 1000000 AS DECIMAL(28, 9)), 2) AS DOUBLE),
+                  CAST(round(CAST(pipeline_us / items / 1000000 AS DECIMAL(28, 9)), 2) AS DOUBLE)) AS line
+    FROM sums""")
+def report_lines(spark, sf_dir):
+    """The hourly metrics as log lines."""
+    sums = metrics.interval_sums(lifecycles(spark, sf_dir), HOUR)
+    return metrics.interval_rates(sums, HOUR).select(
+        stamp("start").alias("start"), metrics.report_line().alias("line"))
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def signal_counts(spark, sf_dir):
     return metrics.signal_counts(table(spark, sf_dir, "events"))
@@ -174,6 +226,22 @@ def job_status(spark, sf_dir):
     return status.job_status(replies)
 
 
+REQUESTED = [f"target{n}" for n in range(0, 2000, 7)]
+
+
+@query("""
+    SELECT 'target' || event_id AS target FROM events
+    WHERE event_id < 2000 AND event_id % 7 = 0 AND event_type <> 'error'""")
+def requested_status(spark, sf_dir):
+    """The status of the targets asked for by name, among those configured."""
+    events = table(spark, sf_dir, "events").select(
+        F.concat(F.lit("target"), F.col("event_id").cast("string")).alias("target"),
+        F.when(F.col("event_type") == "error", 500).otherwise(200).alias("code"),
+        F.lit('{"running":[],"finished":[]}').alias("body"))
+    wanted = status.wanted_targets(events, REQUESTED)
+    return status.job_status(events, wanted).select("target")
+
+
 @query("""
     SELECT user_id AS target, count(*) FILTER (event_type = 'view') AS running,
            count(*) FILTER (event_type = 'purchase') AS finished,
