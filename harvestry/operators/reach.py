@@ -1,57 +1,79 @@
-"""Link-graph traversal: which pages a crawl reaches, and the items it finds there."""
+"""Link-graph traversal: which pages a crawl reaches, and the items it finds there.
+
+Unbranched stretches are contracted first, by doubling; then the joints that remain are
+walked level by level with weighted links. So a long chain costs rounds by the logarithm of
+its length wherever it stands, and only branching costs a round per level. All rounds read
+and write a fixed number of tables below the shared folder, and drop those they replace.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestry.session import cut_lineage
+from harvestry.session import discard, store
 
 
-def _along_chains(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """Closure where every page has at most one next page.
+def _contracted(seeds: DataFrame, edges: DataFrame) -> DataFrame:
+    """(url, head, offset) of the pages within unbranched stretches: pages with one link in
+    and one out that are no seeds. ``head`` is the joint the stretch starts from.
 
-    Jumps double each round (1, 2, 4, … links), so a chain of a million pages takes twenty
-    rounds. After round k all pages fewer than 2**k links away are known; a round that adds
-    none has closed the set, cycles included.
+    Pointers double their reach each round. A round that resolves none leaves only circles
+    without a joint, which nothing reaches.
     """
-    reached, jumps, width = cut_lineage(seeds), edges, 1
-    known = reached.count()
+    one_out = edges.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where("n = 1")
+    one_in = edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n"), F.min("src").alias("head"))
+    inner = (one_in.where("n = 1").select(F.col("dst").alias("url"), "head")
+             .join(one_out.select(F.col("src").alias("url")), "url")
+             .join(seeds.select("url"), "url", "left_anti"))
+    pointers = store(inner.withColumn("offset", F.lit(1).cast("long")), "reach_pointers")
+    done = None
     while True:
-        landed = (reached.join(jumps, reached["url"] == jumps["src"])
-                  .select(jumps["dst"].alias("url"), (F.col("depth") + width).alias("depth")))
-        reached = cut_lineage(
-            reached.unionByName(landed).groupBy("url").agg(F.min("depth").alias("depth")))
-        count = reached.count()
-        if count == known:
-            return reached
-        known, width = count, width * 2
-        onward = jumps.select(F.col("src").alias("dst"), F.col("dst").alias("_far"))
-        jumps = cut_lineage(jumps.join(onward, "dst").select("src", F.col("_far").alias("dst")))
-
-
-def _by_rounds(seeds: DataFrame, edges: DataFrame) -> DataFrame:
-    """Breadth-first closure of any graph: one round per level, each level kept once."""
-    level = cut_lineage(seeds)
-    reached, depth = level, 0
-    while True:
-        depth += 1
-        landed = (level.join(edges, level["url"] == edges["src"])
-                  .select(edges["dst"].alias("url")).distinct())
-        level = cut_lineage(landed.join(reached, "url", "left_anti")
-                            .withColumn("depth", F.lit(depth).cast("long")))
-        if level.isEmpty():
-            return reached
-        reached = reached.unionByName(level)
+        ahead = pointers.select(F.col("url").alias("head"), F.col("head").alias("_far"),
+                                F.col("offset").alias("_more"))
+        stepped = store(pointers.join(ahead, "head", "left").select(
+            "url", F.coalesce("_far", "head").alias("head"),
+            (F.col("offset") + F.coalesce("_more", F.lit(0))).alias("offset"),
+            F.col("_far").isNull().alias("resolved")), "reach_pointers")
+        discard(pointers)
+        pointers = stepped
+        resolved = stepped.agg(F.count_if("resolved"), F.count(F.lit(1))).first()
+        if resolved[0] in (resolved[1], done):
+            return stepped.where("resolved").drop("resolved")
+        done = resolved[0]
 
 
 def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(url, depth) of all pages reachable from ``seeds`` (url) over ``edges`` (src, dst);
     depth is the least number of links."""
-    seeds = seeds.select("url").distinct().withColumn("depth", F.lit(0).cast("long"))
-    edges = cut_lineage(edges.select("src", "dst").distinct())
-    branching = edges.groupBy("src").count().filter("count > 1")
-    return (_along_chains if branching.isEmpty() else _by_rounds)(seeds, edges)
+    seeds = store(seeds.select("url").distinct(), "reach_seeds")
+    edges = store(edges.select("src", "dst").distinct(), "reach_edges")
+    inner = _contracted(seeds, edges)
+    inside = inner.select(F.col("url").alias("dst"))
+    start = inner.select(F.col("url").alias("src"), "head", "offset")
+    # Links into joints, from the head of the stretch that ends there.
+    links = store(edges.join(inside, "dst", "left_anti").join(start, "src", "left").select(
+        F.coalesce("head", "src").alias("src"), "dst",
+        (F.coalesce("offset", F.lit(0)) + 1).cast("long").alias("length"))
+        .groupBy("src", "dst").agg(F.min("length").alias("length")), "reach_links")
+    reached = store(seeds.withColumns({
+        "depth": F.lit(0).cast("long"), "fresh": F.lit(True)}), "reach_joints")
+    while True:
+        landed = (reached.where("fresh").join(links, reached["url"] == links["src"])
+                  .groupBy(links["dst"].alias("url"))
+                  .agg(F.min(F.col("depth") + F.col("length")).alias("landed")))
+        grown = store(reached.join(landed, "url", "full").select(
+            "url", F.least("depth", "landed").alias("depth"),
+            F.coalesce(F.col("landed") < F.col("depth"), F.col("depth").isNull())
+            .alias("fresh")), "reach_joints")
+        discard(reached)
+        reached = grown
+        if reached.where("fresh").isEmpty():
+            break
+    joints = reached.select("url", "depth")
+    stretches = inner.join(joints.select(F.col("url").alias("head"), "depth"), "head").select(
+        "url", (F.col("depth") + F.col("offset")).alias("depth"))
+    return joints.unionByName(stretches)
 
 
 def crawl(seeds: DataFrame, follow: DataFrame, items: DataFrame) -> DataFrame:

@@ -168,7 +168,8 @@ def inflight_states(spark, sf_dir):
            format('Scraped {{:d}} items at {{:.1f}} items/s, avg latency: {{:.2f}} s and avg '
                   || 'time in pipelines: {{:.2f}} s', items, round(items / {HOUR}.0, 1),
                   CAST(round(CAST(latency_us / items / 1000000 AS DECIMAL(28, 9)), 2) AS DOUBLE),
-                  CAST(round(CAST(pipeline_us / items / 1000000 AS DECIMAL(28, 9)), 2) AS DOUBLE)) AS line
+                  CAST(round(CAST(pipeline_us / items / 1000000 AS DECIMAL(28, 9)), 2) AS DOUBLE))
+             AS line
     FROM sums""")
 def report_lines(spark, sf_dir):
     """The hourly metrics as log lines."""

@@ -155,6 +155,31 @@ def test_branching_with_cycles(spark):
     assert reached(spark, ["a"], pairs) == levels(["a"], pairs)
 
 
+def test_long_chain_with_branches(spark, monkeypatch):
+    """Rounds go by the logarithm of a stretch's length and by the joints on the way."""
+    stored = []
+    store = reach.store
+    monkeypatch.setattr(reach, "store", lambda df, label: stored.append(label) or store(df, label))
+    n = 10_000
+    chain = spark.range(n).selectExpr("concat('p', id) as src", "concat('p', id + 1) as dst")
+    seeds = spark.createDataFrame([("p0",)], "url string")
+
+    def run(more):
+        stored.clear()
+        found = reach.reach(seeds, chain.unionByName(edges(spark, *more)))
+        leaves = found._jdf.queryExecution().analyzed().collectLeaves().size()
+        row = found.selectExpr("count(*)", "max(depth)", "sum(depth)").first()
+        return tuple(row), len(stored), leaves
+
+    plain = run([("x", "y")])
+    assert plain[0] == (n + 1, n, n * (n + 1) // 2)
+    branched = run([("p17", "q"), ("p5000", "r"), ("q", "p9000")])
+    # The short cut p17, q, p9000 shortens the depths from p9000 on.
+    saved = (9000 - 19) * 1001
+    assert branched[0] == (n + 3, max(n - 8981, 8999), n * (n + 1) // 2 - saved + 18 + 5001)
+    assert plain[1] <= 24 and branched[1] <= plain[1] + 6 and branched[2] == plain[2]
+
+
 def test_no_links(spark):
     assert reached(spark, ["a"], [("x", "y")]) == {"a": 0}
 
