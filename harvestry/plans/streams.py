@@ -114,8 +114,10 @@ def cached_items_stream(spark, sf_dir):
     items = stream_table(session, write, spark.read.parquet(write).schema)
 
     def locate(batch):
-        settled = enrich.settle_replies(replies(batch.sparkSession, sf_dir))
-        return enrich.from_replies(batch, settled)
+        cold = batch.where("location is null").select(
+            enrich.first_address().alias("address")).distinct()
+        asked = replies(batch.sparkSession, sf_dir).join(cold, "address", "left_semi")
+        return enrich.from_replies(batch, enrich.settle_replies(asked))
 
     start_cached(items, locate, f"{root}/cache", f"{root}/out", f"{root}/checkpoint",
                  availableNow=True).awaitTermination()

@@ -17,19 +17,44 @@ ENTRY = T.StructType([
 ])
 
 
+#: Every so many batches the log is compacted, so that a batch reads one snapshot and a tail
+#: of fewer batches than this, however long the stream has run.
+COMPACTED = 16
+
+
 def read_cache(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
     """The cache (key, value): each key's entry from the latest batch. The cache is a log of
-    per-batch folders; ``before`` shows it as it was ahead of that batch."""
-    log = spark.read.schema(ENTRY).parquet(path)
+    per-batch folders; ``before`` shows it as it was ahead of that batch, from the last
+    snapshot and the batches since."""
+    log = spark.read.schema(ENTRY).parquet(f"{path}/log")
     if before is not None:
+        since = before // COMPACTED * COMPACTED
         log = log.filter(F.col("batch_id") < before)
+        if since:
+            log = log.filter(F.col("batch_id") >= since).unionByName(
+                spark.read.schema(ENTRY).parquet(f"{path}/snapshot/{since}"))
     return latest_entries(log.select(
         "key", "value", F.struct("batch_id", "seq").alias("seq"))).drop("seq")
 
 
 def write_entries(entries: DataFrame, path: str, batch_id: int) -> None:
     (entries.select("key", "value", "seq").write.mode("overwrite")
-     .parquet(f"{path}/batch_id={batch_id}"))
+     .parquet(f"{path}/log/batch_id={batch_id}"))
+
+
+def compact(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Ahead of every COMPACTED-th batch, write each key's latest entry as a snapshot; a
+    repeated batch rewrites it."""
+    if batch_id <= 0 or batch_id % COMPACTED:
+        return
+    last = batch_id - COMPACTED
+    log = spark.read.schema(ENTRY).parquet(f"{path}/log").filter(
+        (F.col("batch_id") < batch_id) & (F.col("batch_id") >= (last or -1)))
+    if last:
+        log = log.unionByName(spark.read.schema(ENTRY).parquet(f"{path}/snapshot/{last}"))
+    latest = latest_entries(log.select("key", "value", F.struct("batch_id", "seq").alias("seq")))
+    (latest.select("key", "value", "seq.seq", "seq.batch_id").write.mode("overwrite")
+     .parquet(f"{path}/snapshot/{batch_id}"))
 
 
 def start_cached(items: DataFrame, locate, cache: str, out: str, checkpoint: str,
@@ -41,6 +66,7 @@ def start_cached(items: DataFrame, locate, cache: str, out: str, checkpoint: str
     """
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark, path = batch.sparkSession, f"{out}/batch_id={batch_id}"
+        compact(spark, cache, batch_id)
         done = locate(from_cache(batch, read_cache(spark, cache, before=batch_id)))
         done.write.mode("overwrite").parquet(path)
         written = spark.read.schema(done.schema).parquet(path)

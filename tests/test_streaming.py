@@ -1,4 +1,5 @@
 import json
+import re
 import os
 
 import pytest
@@ -184,3 +185,23 @@ def test_partitioned_feed_streams(spark, tmp_path):
     running.awaitTermination(120)
     assert running.lastProgress["batchId"] == 1
     assert shifts(spark, tmp_path, 1) == AFTER_B
+
+
+def test_cache_is_compacted(spark, tmp_path, monkeypatch):
+    """With a snapshot every third batch, every state of the cache is what the whole log says,
+    and a batch reads no more of the log than the batches since."""
+    from harvestry.streaming import cache
+    monkeypatch.setattr(cache, "COMPACTED", 3)
+    path, state = str(tmp_path / "cache"), {}
+    for batch in range(-1, 8):
+        if batch >= 0:
+            cache.compact(spark, path, batch)
+            seen = cache.read_cache(spark, path, before=batch)
+            assert {r.key: r.value for r in seen.collect()} == state
+        rows = [(f"k{batch % 3}", f"v{batch}", 1), (f"k{batch % 3}", "older", 0),
+                (f"own{batch}", "x", 0)]
+        entries = spark.createDataFrame(rows, "key string, value string, seq long")
+        cache.write_entries(entries, path, batch)
+        state |= {rows[0][0]: rows[0][1], rows[2][0]: "x"}
+    plan = cache.read_cache(spark, path, before=8)._jdf.queryExecution().executedPlan()
+    assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L >= 6", plan.toString())
