@@ -6,6 +6,8 @@ import hashlib
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -81,6 +83,23 @@ def discard(df: DataFrame) -> None:
         df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package's modules along with the application, once, so that Python workers can
+    import them wherever they run. Call it ahead of functions that run in workers."""
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="run-")) / "harvestry_modules.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for module in sorted(package.rglob("*.py")):
+            out.write(module, f"{package.name}/{module.relative_to(package)}")
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def by_key(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition into the configured number of partitions, also where they are small:
     adaptive coalescing goes by bytes and would leave CPU-heavy work to a few tasks."""

@@ -63,10 +63,8 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType,
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    jvm = spark.sparkContext._jvm
-    table = jvm.org.apache.hadoop.fs.Path(path)
-    files = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.getFileStatus(table).isDirectory():
-        return reader.parquet(path)
-    folder, name = os.path.split(path)
-    return reader.option("pathGlobFilter", name).parquet(folder)
+    folder, name = os.path.split(path.rstrip("/"))
+    files = spark.read.schema(schema).parquet(path).inputFiles()
+    if len(files) == 1 and os.path.basename(files[0]) == name:
+        return reader.option("pathGlobFilter", name).parquet(folder)
+    return reader.parquet(path)
