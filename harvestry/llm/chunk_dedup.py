@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.session import store
+from harvestry.session import ship_package, store
 
 #: Bytes the hash looks back, mean gap of candidate ends in bytes, bytes between ends at least.
 WINDOW, MEAN, LEAST = 16, 32, 16
@@ -95,6 +95,7 @@ def chunks(documents: DataFrame) -> DataFrame:
             if owner:
                 yield packed()
 
+    ship_package(documents.sparkSession)
     return documents.select(F.monotonically_increasing_id().alias("row"),
                             F.col("doc_id").cast("long"), "text").mapInArrow(run, CHUNKS)
 

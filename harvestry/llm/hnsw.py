@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from harvestry.llm.common import bucket_count
 from harvestry.llm.topk import is_finite
-from harvestry.session import store
+from harvestry.session import ship_package, store
 
 SHARD_NODES, QUERY_ROWS = 8192, 1024
 #: Neighbours per node (twice as many on the ground layer) and search widths.
@@ -205,6 +205,7 @@ INDEX = "dims int, shard long, node array<long>, image binary"
 
 def build_index(distinct: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFrame:
     """Graphs of all nodes, one row per shard."""
+    ship_package(distinct.sparkSession)
     shards = bucket_count(distinct.count(), shard_nodes)
 
     def run(key: tuple, held: pd.DataFrame) -> pd.DataFrame:
@@ -220,6 +221,7 @@ def build_index(distinct: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFram
 def search_index(index: DataFrame, queries: DataFrame, distinct: DataFrame, k: int) -> DataFrame:
     """``query`` (a node), ``node``, ``score``: for each query node the k + 1 nearest nodes of
     every shard (itself among them), by exact cosine of the original vectors."""
+    ship_package(queries.sparkSession)
     parts = bucket_count(queries.count(), QUERY_ROWS)
     shards = index.select("dims", "shard")
     asked = queries.select(F.col("node").alias("query"), F.col("embedding").alias("wanted"),

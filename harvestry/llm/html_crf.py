@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.session import ship_package
+
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
     "ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
@@ -455,6 +457,7 @@ def extract(pages: DataFrame, model: Chain | None = None) -> DataFrame:
     """Every row of ``pages`` (``page_id``, ``url``, ``html``) as ``page_id``, ``url``,
     ``text`` and ``n_chars`` (code points). Repeated rows stay; nulls in page_id and url pass;
     other columns are not read."""
+    ship_package(pages.sparkSession)
     model = trained() if model is None else model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import components
-from harvestry.session import discard, store
+from harvestry.session import discard, ship_package, store
 
 #: Least document frequency of the classes indexed by 2- and 3-combinations.
 CLASSES = ((4096, 3), (64, 2))
@@ -158,6 +158,7 @@ def shingled(documents: DataFrame, size: int, percent: int) -> DataFrame:
                  pa.array(out["shared"], pa.int32())],
                 names=[f.split()[0] for f in SHINGLED.split(", ")])
 
+    ship_package(documents.sparkSession)
     return documents.select(F.monotonically_increasing_id().alias("row"),
                             F.col("doc_id").cast("long"), *text_hash(), "text").mapInArrow(
         run, SHINGLED)

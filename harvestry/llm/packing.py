@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from harvestry.llm.common import bucket_count, rank_in_group
 from harvestry.llm.encode import encoder, with_end
 from harvestry.llm.token_files import ids_crc32
-from harvestry.session import store
+from harvestry.session import ship_package, store
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Rows ranked in one task, about.
@@ -59,6 +59,7 @@ def encode_pieces(documents: DataFrame, tokenizer: str, capacity: int = 1024,
                     columns.append(pa.array(own, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names=FIELDS[:len(columns)])
 
+    ship_package(documents.sparkSession)
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         cut, PIECES + (", ids array<long>" if keep_ids else ""))
 

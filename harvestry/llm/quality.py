@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.session import ship_package
+
 #: Labelled rows the model is fitted on at most (chosen by a hash of the id), and pairs drawn.
 SAMPLE_ROWS, PAIRS, PENALTY = 20_000, 60_000, 1e-3
 
@@ -123,6 +125,7 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
     """Fit on at most ``rows`` labelled documents outside the held-out third; the driver sees
     their features only. Null labels are passed over."""
+    ship_package(documents.sparkSession)
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         F.col("quality").isin(0, 1) & ~is_held_out())
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(rows)
@@ -145,6 +148,7 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> M
 def scored(documents: DataFrame, model: Model) -> DataFrame:
     """``documents`` with ``score`` and ``predicted``, which replace columns of these names.
     A null text is scored as an empty one."""
+    ship_package(documents.sparkSession)
     rest = [name for name in documents.columns if name not in ("score", "predicted")]
     held = documents.select(F.struct(*[F.col(f"`{n}`") for n in rest]).alias("row"), "text")
     schema = held.select("row").schema

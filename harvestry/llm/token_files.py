@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.encode import encoder, with_end
+from harvestry.session import ship_package
 
 MAGIC = b"TOKIDS1\0"
 HEADER = "<8sBQQQq"
@@ -151,6 +152,7 @@ def token_images(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataF
         if held:
             yield image()
 
+    ship_package(documents.sparkSession)
     return ordered.mapInArrow(write, IMAGES)
 
 
@@ -190,6 +192,7 @@ def read_documents(spark: SparkSession, path: str, reduce=None, result: str | No
                         names=["part", "shard", "doc_id", "place", "n_tokens",
                                "value" if reduce else "ids"])
 
+    ship_package(spark)
     rows = files.select("part", "shard", "image").mapInArrow(
         unpack, f"part int, shard int, doc_id long, place long, n_tokens long, {tail}")
     # Ids before a shard: a running sum over parts (one row each), then over a part's shards.

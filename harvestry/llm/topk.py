@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import bucket_count
-from harvestry.session import store
+from harvestry.session import ship_package, store
 
 SHARD_ROWS, QUERY_ROWS, STRIP = 4096, 2048, 512
 #: Components are clamped to this, so that products of two vectors fit a long.
@@ -99,6 +99,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     and ``vector`` (array<long>, no nulls) and are stored tables. Ties go to the smaller
     vec_id (null first), then to the smaller row; a query with fewer candidates returns them
     all. Vectors of another dimension than the query's are no candidates."""
+    ship_package(vectors.sparkSession)
     shards = bucket_count(vectors.count(), shard_rows)
     parts = bucket_count(queries.count(), query_rows)
     vectors = vectors.select("row", "vec_id", "vector", F.size("vector").alias("dims"), F.pmod(
