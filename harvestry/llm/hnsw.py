@@ -214,8 +214,11 @@ def build_index(distinct: DataFrame, shard_nodes: int = SHARD_NODES) -> DataFram
         return pd.DataFrame({"dims": [key[0]], "shard": [key[1]],
                              "node": [held["node"].to_numpy()], "image": [graph.pack()]})
 
-    return distinct.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards))).groupBy(
-        "dims", "shard").applyInPandas(run, INDEX)
+    # A fixed number of partitions: merged by bytes, as small data are, several graphs would be
+    # built one after another in a task.
+    dealt = distinct.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)))
+    return dealt.repartition(2 * shards, "dims", "shard").groupBy("dims", "shard").applyInPandas(
+        run, INDEX)
 
 
 def search_index(index: DataFrame, queries: DataFrame, distinct: DataFrame, k: int) -> DataFrame:
@@ -229,6 +232,7 @@ def search_index(index: DataFrame, queries: DataFrame, distinct: DataFrame, k: i
     asked = asked.join(shards, "dims").groupBy("dims", "shard", "part").agg(
         F.collect_list("query").alias("queries"), F.collect_list("wanted").alias("wanted"))
     tasks = index.join(asked, ["dims", "shard"]).select("node", "image", "queries", "wanted")
+    tasks = tasks.repartition(max(1, shards.count() * parts))  # a graph and a query block each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
