@@ -3,8 +3,10 @@
 1. Texts are encoded once; documents longer than a sequence are cut into full pieces, the
    first of them shorter. Full pieces are sequences of their own.
 2. Lengths above ``small`` are sorted and dealt into groups of equal cardinality, each
-   rounded up to its longest. The few rounded sizes are packed into configurations, each
-   filled by a bounded subset-sum search and used as often as the groups allow.
+   rounded up to its longest. The rounded sizes, at most ``groups``, are packed into
+   configurations, each filled by a bounded subset-sum search and used as often as the
+   groups allow. More groups round less: over 250,000 documents, 256 groups took 1.6 % more
+   sequences than the sum of lengths asks for, 1024 groups 0.004 %.
 3. Actual documents take the places of their group by rank, which frees what rounding added.
 4. Small pieces go to the sequences they fit best, by their numbers per length.
 
@@ -142,7 +144,7 @@ def best_fit(rooms: dict[int, int], counts: dict[int, int], capacity: int):
     return [tuple(x) for blocks in held.values() for x in blocks if x[3]], opened
 
 
-def pack_lengths(items: DataFrame, capacity: int = 1024, groups: int = 256,
+def pack_lengths(items: DataFrame, capacity: int = 1024, groups: int = 1024,
                  small: int | None = None) -> DataFrame:
     """``items`` (``item``: unique long, ``length``: 1 to ``capacity``) with ``sequence_id``
     and ``offset``: places in sequences of at most ``capacity``, gapless from 0.
@@ -217,7 +219,7 @@ def pack_lengths(items: DataFrame, capacity: int = 1024, groups: int = 256,
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, capacity: int = 1024,
-                   end_id: int = 2, keep_ids: bool = False, groups: int = 256) -> DataFrame:
+                   end_id: int = 2, keep_ids: bool = False, groups: int = 1024) -> DataFrame:
     """Every piece of every document with its ``sequence_id`` and ``offset`` there."""
     pieces = store(
         encode_pieces(documents, tokenizer, capacity, end_id, keep_ids)

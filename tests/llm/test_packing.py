@@ -89,7 +89,7 @@ def test_number_of_sequences(spark):
             at = bisect.bisect_left(bins, size)
             free = bins.pop(at) if at < len(bins) else 1024
             bisect.insort(bins, free - size)
-        assert used <= len(bins) * 1.012 + 1, (used, len(bins), sum(lengths) / 1024)
+        assert used <= len(bins) * 1.006 + 1, (used, len(bins), sum(lengths) / 1024)
 
 
 def test_linear_groups_and_configurations():
