@@ -62,15 +62,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
+def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read that: for results several sinks
-    use, each reading only its columns. ``discard`` deletes it again."""
+    use, each reading only its columns. With ``bucket`` the table is bucketed by that column,
+    so that joins on it do not shuffle the table. ``discard`` deletes it again."""
     spark = df.sparkSession
     root = f"{shared_root(spark).rstrip('/')}/harvestry"
     database = f"harvestry_{hashlib.md5(root.encode()).hexdigest()[:12]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
     name = f"{database}.{re.sub('[^a-z0-9]', '_', label.lower())}_{uuid.uuid4().hex}"
-    df.write.format("parquet").saveAsTable(name)
+    if bucket:
+        df.repartition(buckets, bucket).write.format("parquet").bucketBy(
+            buckets, bucket).saveAsTable(name)
+    else:
+        df.write.format("parquet").saveAsTable(name)
     stored = spark.table(name)
     stored.scratch_table = name
     return stored
