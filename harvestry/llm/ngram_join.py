@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import components
+from harvestry.llm.common import bucket_count, components
 from harvestry.session import discard, ship_package, store
 
 #: Least document frequency of the classes indexed by 2- and 3-combinations.
@@ -43,6 +43,8 @@ CLASSES = ((4096, 3), (64, 2))
 SPREAD = 64
 #: Members of a signature compared in one block; rounds of stars before.
 BLOCK, ROUNDS = 256, 5
+#: Later rounds use one in so many signatures. Candidate sets in a bucket of their table.
+DRAWN, BUCKET = 4, 4000
 WORDS_AT_ONCE = 2_000_000
 
 SHINGLED = ("row long, doc_id long, t1 long, t2 long, n long, d1 long, d2 long, bits binary, "
@@ -218,11 +220,12 @@ def signatures(frequent: DataFrame, percent: int) -> DataFrame:
     return frequent.mapInArrow(run, "sig long, id long")
 
 
-def _may_link(n_a, n_b, bits_a, bits_b, percent) -> bool:
+def _apart(n_a, n_b, bits_a, bits_b) -> int:
+    """A number of tokens that the sets differ in at least."""
     a, b = np.frombuffer(bits_a, np.uint64), np.frombuffer(bits_b, np.uint64)
     size = min(len(a), len(b))
     apart = int(np.bitwise_count(folded(a, size) ^ folded(b, size)).sum())
-    return within(n_a, n_b, max(apart, abs(n_a - n_b)), percent)
+    return max(apart, abs(n_a - n_b))
 
 
 def within(n_a, n_b, apart, percent):
@@ -230,22 +233,34 @@ def within(n_a, n_b, apart, percent):
     return (n_a + n_b) * (100 - percent) >= apart * (100 + percent)
 
 
-def verified(pairs: DataFrame, light: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) that link; first by bitmaps, then by the sets."""
+def _nearest(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Of each ``a`` the pair that is nearest by the bitmaps, if it may link."""
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [_may_link(*row, percent) for row in zip(
+            apart = [_apart(*row) for row in zip(
                 *(batch.column(name).to_pylist() for name in ("na", "nb", "ba", "bb")),
                 strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            good = [within(a, b, d, percent) for a, b, d in zip(
+                batch.column("na").to_pylist(), batch.column("nb").to_pylist(), apart,
+                strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(apart, pa.int64())],
+                names=["a", "b", "apart"]).filter(pa.array(good, pa.bool_()))
+
+    near = pairs.join(_side(light, "a"), "a").join(_side(light, "b"), "b")
+    near = near.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(
+        keep, "a long, b long, apart long")
+    return near.groupBy("a").agg(F.min(F.struct("apart", "b")).alias("best")).select(
+        "a", F.col("best.b").alias("b"))
+
+
+def _side(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(end if c == "id" else c[0] + end) for c in df.columns])
 
-    def side(df, end):
-        return df.select(*[F.col(c).alias(end if c == "id" else c[0] + end)
-                           for c in df.columns])
 
-    near = pairs.join(side(light, "a"), "a").join(side(light, "b"), "b")
-    near = near.select("a", "b", "na", "nb", "ba", "bb").mapInArrow(keep, "a long, b long")
-    both = near.join(side(sets, "a"), "a").join(side(sets, "b"), "b")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` (``a``, ``b``) that link by their sets (a table bucketed by id)."""
+    both = pairs.join(_side(sets, "a"), "a").join(_side(sets, "b"), "b")
     common = F.size(F.array_intersect("ta", "tb"))
     whole = F.size("ta") + F.size("tb")
     return both.where(whole * (100 - percent) >= (whole - common * 2) * (100 + percent)).select(
@@ -253,17 +268,20 @@ def verified(pairs: DataFrame, light: DataFrame, sets: DataFrame, percent: int)
 
 
 def stars(sigs: DataFrame, turn: int) -> DataFrame:
-    """Each member of a signature with one leader, from another component. In the first round
-    a set leads wherever it can, so that most members meet one leader however many signatures
-    they share; later rounds draw a leader for every signature."""
-    drawn = F.xxhash64("id", F.lit(turn)) if not turn else F.xxhash64("id", "sig", F.lit(turn))
+    """Each member (``a``) of a signature with one leader (``b``), from another component. In
+    the first round a set leads wherever it can, so that most members meet one leader however
+    many signatures they share; later rounds draw a leader for every signature, from a share
+    of the signatures each: the blocks take whatever these rounds leave."""
+    drawn = F.xxhash64("id", F.lit(turn))
+    if turn:
+        drawn = F.xxhash64("id", "sig", F.lit(turn))
+        sigs = sigs.where(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(DRAWN)) == 0)
     order = F.struct(drawn.alias("h"), "id", "component")
     lead = sigs.groupBy("sig").agg(F.min(order).alias("lead"), F.min("component").alias("low"),
                                    F.max("component").alias("high")).where("low < high")
     pairs = sigs.join(lead.select("sig", "lead"), "sig").where(
-        "component <> lead.component").select("id", F.col("lead.id").alias("leader"))
-    return pairs.select(F.least("id", "leader").alias("a"),
-                        F.greatest("id", "leader").alias("b")).distinct()
+        "component <> lead.component")
+    return pairs.select(F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct()
 
 
 def blocks(sigs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
@@ -317,13 +335,14 @@ def _near(left, right, percent):
 def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows as ``shingled`` makes them (stored), and ``d1``, ``d2``, ``n``, ``component``
     (a number shared by all linked sets) of every distinct set."""
-    rows = store(shingled(documents, size, percent), "ngram_sets")
+    wide = store(shingled(documents, size, percent), "ngram_sets")
+    rows = store(wide.drop("bits", "window", "shared"), "ngram_rows")
     classes = store(rows.where("n > 0").groupBy("d1", "d2", "n").agg(
         F.min("row").alias("id"), F.min("doc_id").alias("doc_id")), "ngram_classes")
     # Below 9 tokens nothing but an equal set is similar enough at 90; in general, the
     # smallest sum of sizes that allows a difference of one.
     least = -(-(100 + percent) // (100 - percent)) // 2 if percent < 100 else 1 << 62
-    held = rows.join(classes.select("id"), rows["row"] == F.col("id"), "left_semi").where(
+    held = wide.join(classes.select("id"), wide["row"] == F.col("id"), "left_semi").where(
         F.col("n") >= least)
     windows = held.select(F.col("row").alias("id"), F.explode("window").alias("token"))
     df = windows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -335,9 +354,11 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     sigs = store(found.join(alive.select("sig"), "sig").select("sig", "id"), "ngram_index")
     discard(found)
     ids = store(sigs.select("id").distinct(), "ngram_candidates")
-    light = store(rows.select(F.col("row").alias("id"), "n", "bits").join(ids, "id"),
+    light = store(wide.select(F.col("row").alias("id"), "n", "bits").join(ids, "id"),
                   "ngram_bitmaps")
-    sets = store(_sets_of(documents, classes.join(ids, "id"), size), "ngram_tokens")
+    discard(wide)  # the windows are the bulk of what is stored
+    sets = store(_sets_of(documents, classes.join(ids, "id"), size), "ngram_tokens", "id",
+                 min(10_000, bucket_count(ids.count(), BUCKET)))
 
     links: list[DataFrame] = []
     component = ids.select("id", F.col("id").alias("component"))
@@ -345,7 +366,7 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     def merge(pairs: DataFrame) -> bool:
         """Add the links among ``pairs``; whether there were any."""
         nonlocal component
-        links.append(store(verified(pairs, light, sets, percent), "ngram_links"))
+        links.append(store(verified(pairs, sets, percent), "ngram_links"))
         if links[-1].isEmpty():
             return False
         merged = components(reduce(DataFrame.unionByName, links))
@@ -354,7 +375,7 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
         return True
 
     for turn in range(ROUNDS):
-        if not merge(stars(sigs.join(component, "id"), turn)) and turn:
+        if not merge(_nearest(stars(sigs.join(component, "id"), turn), light, percent)) and turn:
             break
     merge(blocks(sigs.join(component, "id"), light, percent))
     return rows, classes.join(component, "id", "left").select(

@@ -152,7 +152,8 @@ def test_similar_sets_share_a_signature(seed, monkeypatch):
             if ngram_join.within(len(a), len(b), apart, 90):
                 linked += 1
                 assert a == b or signs[i] & signs[j]
-                assert ngram_join._may_link(len(a), len(b), *maps, 90)
+                least = ngram_join._apart(len(a), len(b), *maps)
+                assert least <= apart and ngram_join.within(len(a), len(b), least, 90)
     assert linked > 20
 
 
