@@ -124,6 +124,12 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+def forget() -> None:
+    """Free the pieces kept in this Python worker: workers outlive the operators they run, and
+    what follows needs the memory."""
+    _ENCODERS.clear()
+
+
 def with_end(ids: np.ndarray, lengths: np.ndarray, end_id: int):
     """The rows' ids, each followed by ``end_id``, and the new lengths."""
     stops = np.cumsum(lengths)

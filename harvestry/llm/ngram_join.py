@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from harvestry.llm.common import bucket_count, components
+from harvestry.llm.encode import forget
 from harvestry.session import discard, ship_package, store
 
 #: Least document frequency of the classes indexed by 2- and 3-combinations.
@@ -45,7 +46,9 @@ SPREAD = 64
 BLOCK, ROUNDS = 256, 5
 #: Later rounds use one in so many signatures. Candidate sets in a bucket of their table.
 DRAWN, BUCKET = 4, 4000
-WORDS_AT_ONCE = 2_000_000
+WORDS_AT_ONCE = 700_000
+#: Rows of lists opened to Python objects at once.
+ROWS_AT_ONCE = 64
 
 SHINGLED = ("row long, doc_id long, t1 long, t2 long, n long, d1 long, d2 long, bits binary, "
             "window array<long>, shared int")
@@ -131,6 +134,12 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
     return bits
 
 
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(low, ROWS_AT_ONCE)
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64).view(np.int64)
 
@@ -139,6 +148,7 @@ def shingled(documents: DataFrame, size: int, percent: int) -> DataFrame:
     """A row per document: its set's size, digest, parity bitmap and window (all tokens of
     the ordered share, or as many of the lowest hashes as any prefix may take)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         edge = np.uint64(min(share_edge(percent), (1 << 64) - 1))
         for batch in batches:
             out = {name: [] for name in ("n", "d1", "d2", "bits", "window", "shared")}
@@ -202,7 +212,7 @@ def _prefix(tokens, frequency, shared: int, n: int, percent: int, level: int):
 def signatures(frequent: DataFrame, percent: int) -> DataFrame:
     """``sig``, ``id`` of every class; ``frequent`` has the arrays per class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sigs, owners = [], []
             for row in batch.to_pylist():
                 n = row["n"]
@@ -298,7 +308,7 @@ def blocks(sigs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     lists = dealt.groupBy("sig", "i", "j").agg(F.collect_list("member").alias("members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             first, second = [], []
             for i, j, members in zip(*(batch.column(c).to_pylist() for c in range(3)),
                                      strict=True):

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestry.llm.encode import forget
 from harvestry.session import ship_package
 
 #: Labelled rows the model is fitted on at most (chosen by a hash of the id), and pairs drawn.
@@ -154,6 +155,7 @@ def scored(documents: DataFrame, model: Model) -> DataFrame:
     schema = held.select("row").schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             found = [features(t or "") for t in batch.column(1).to_pylist()]
             score = model.score(np.array(found)) if found else np.zeros(0)
