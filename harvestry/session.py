@@ -12,6 +12,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 DEFAULTS = {
     "spark.ui.enabled": "false",
@@ -62,20 +63,34 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1) -> DataFrame:
+def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1,
+          codec: str | None = None, free: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read that: for results several sinks
     use, each reading only its columns. With ``bucket`` the table is bucketed by that column,
-    so that joins on it do not shuffle the table. ``discard`` deletes it again."""
+    so that joins on it do not shuffle the table. ``codec`` compresses other than the session does.
+    With ``free`` the shuffle files of the write go as it ends, not when the driver happens to
+    collect its garbage. ``discard`` deletes the table again."""
     spark = df.sparkSession
+    if free:
+        before = spark.conf.get(FREE_SHUFFLES, None)
+        spark.conf.set(FREE_SHUFFLES, "true")
+        try:
+            return store(df, label, bucket, buckets, codec)
+        finally:
+            if before is None:
+                spark.conf.unset(FREE_SHUFFLES)
+            else:
+                spark.conf.set(FREE_SHUFFLES, before)
     root = f"{shared_root(spark).rstrip('/')}/harvestry"
     database = f"harvestry_{hashlib.md5(root.encode()).hexdigest()[:12]}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{root}'")
     name = f"{database}.{re.sub('[^a-z0-9]', '_', label.lower())}_{uuid.uuid4().hex}"
+    options = {"compression": codec} if codec else {}
     if bucket:
-        df.repartition(buckets, bucket).write.format("parquet").bucketBy(
+        df.repartition(buckets, bucket).write.format("parquet").options(**options).bucketBy(
             buckets, bucket).saveAsTable(name)
     else:
-        df.write.format("parquet").saveAsTable(name)
+        df.write.format("parquet").options(**options).saveAsTable(name)
     stored = spark.table(name)
     stored.scratch_table = name
     return stored

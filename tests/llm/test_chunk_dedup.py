@@ -113,3 +113,56 @@ def test_within_a_document_and_no_rows(spark):
     assert len(chunk_dedup.repeats(docs, within=True).collect()) == 1
     assert chunk_dedup.repeats(docs.limit(0)).collect() == []
     assert np.array_equal(chunk_dedup.chunk_ends(b""), [])
+
+
+def copied(rng, kind):
+    """A passage of over 50 words, and two otherwise different texts that hold it."""
+    if kind == "periodic":
+        passage = "\n".join([words(rng, 6)] * 20)
+    else:
+        passage = " ".join("".join(rng.choice("abcdefghinorstué") for _ in range(
+            rng.randint(2, 5))) for _ in range(51))
+    return [f"{words(rng, rng.randint(0, 60))}{sep}{passage}{sep}{words(rng, rng.randint(0, 60))}"
+            for sep in (" ", " | ")], passage
+
+
+def test_short_words_and_periodic_passages_are_found_whole(spark):
+    rng, rows, held = random.Random(11), [], []
+    for at in range(600):
+        texts, passage = copied(rng, "periodic" if at % 2 else "short")
+        rows += [(2 * at + i, t, "r", 1) for i, t in enumerate(texts)]
+        start = len(texts[1].split(passage)[0].encode())
+        held.append((start, start + len(passage.encode())))
+    found = {}
+    for r in chunk_dedup.repeats(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect():
+        found.setdefault(r["doc_id"], []).append((r["start"], r["start"] + r["length"]))
+    covered = [sum(max(0, min(b, end) - max(a, start)) for a, b in found.get(2 * at + 1, []))
+               / (end - start) for at, (start, end) in enumerate(held)]
+    assert min(covered) > 0.5 and sum(c == 1 for c in covered) > 0.85 * len(covered), covered
+
+
+def test_no_chunk_is_long_and_splits_are_local(monkeypatch):
+    rng = random.Random(4)
+    most = chunk_dedup.SPLIT + 4 * chunk_dedup.LEAST
+    texts = [words(rng, 3000).encode(), b"x" * 5000, (words(rng, 6) + "\n").encode() * 300,
+             "日本".encode() * 2000]
+    for raw in texts:
+        ends = chunk_dedup.split_ends(raw, chunk_dedup.chunk_ends(raw))
+        assert np.diff(ends, prepend=0).min() > 0 and np.diff(ends, prepend=0).max() <= most
+        assert all(raw[e] & 0xC0 != 0x80 for e in ends[:-1]) and ends[-1] == len(raw)
+        other = b"some bytes ahead " + raw
+        moved = chunk_dedup.split_ends(other, chunk_dedup.chunk_ends(other)) - 17
+        if raw is texts[0]:
+            assert len(set(ends) ^ set(moved[moved > 0])) < 12
+        monkeypatch.setattr(chunk_dedup, "AT_ONCE", 333)
+        blocks = chunk_dedup.split_ends(raw, chunk_dedup.chunk_ends(raw))
+        monkeypatch.undo()
+        assert blocks.tolist() == ends.tolist()
+
+
+def test_matches_are_extended_by_equal_bytes_only():
+    raw = "before é shared words é after".encode()
+    left, right = "elsewhere é sh".encode(), " words è".encode()
+    start = raw.index(b"ared")
+    a, b = chunk_dedup.extended(raw, start, 4, left, right)
+    assert raw[a:b].decode() == "re é shared words "
