@@ -94,7 +94,7 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunk_dedup.repeats(table(spark, sf_dir, "documents")).drop("row")
+    return chunk_dedup.repeats(table(spark, sf_dir, "documents"), within=True).drop("row")
 
 
 TOP_K_SQL = """

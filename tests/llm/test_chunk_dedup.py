@@ -166,3 +166,13 @@ def test_matches_are_extended_by_equal_bytes_only():
     start = raw.index(b"ared")
     a, b = chunk_dedup.extended(raw, start, 4, left, right)
     assert raw[a:b].decode() == "re é shared words "
+
+
+def test_the_query_finds_repeats_within_a_document(spark, tmp_path):
+    from harvestry.llm import queries
+    text = words(random.Random(1), 60)
+    spark.createDataFrame([(1, text + "\n" + text, "r", 1)], SCHEMA).write.parquet(
+        str(tmp_path / "documents.parquet"))
+    found = queries.op5_substring_dedup(spark, str(tmp_path)).collect()
+    assert [(r["start"], r["length"]) for r in found] == [
+        (len(text.encode()) + 1, len(text.encode()))]
