@@ -20,8 +20,8 @@ from harvestry.llm.common import bucket_count
 from harvestry.session import ship_package, store
 
 SHARD_ROWS, QUERY_ROWS, STRIP = 4096, 2048, 512
-#: Components are clamped to this, so that products of two vectors fit a long.
-LARGEST = 1 << 24
+#: Scaled components are below this, as longs; products of two vectors may still pass a long.
+LARGEST = 1 << 62
 
 
 def is_finite(vector: str) -> Column:
@@ -32,15 +32,27 @@ def is_finite(vector: str) -> Column:
 
 
 def quantised(vector: str, scale: int = 1024) -> Column:
-    """floor(scale * x) of each component, as long."""
-    return F.transform(vector, lambda x: F.floor(F.greatest(F.lit(-LARGEST), F.least(
-        F.lit(LARGEST), x.cast("double") * scale))).cast("long"))
+    """floor(scale * x) of each component, as long; an error where that passes LARGEST."""
+    def floor(x):
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < F.lit(float(LARGEST)), F.floor(scaled)).otherwise(
+            F.raise_error(F.lit("a vector's component is too large for exact products")))
+    return F.transform(vector, lambda x: floor(x).cast("long"))
+
+
+def long_product(a: np.ndarray, b: np.ndarray) -> int:
+    """The exact product of two integer vectors; an error if it is no long."""
+    score = sum(x * y for x, y in zip(a.tolist(), b.tolist(), strict=True))
+    if not -1 << 63 <= score < 1 << 63:
+        raise OverflowError("the product of two vectors is too large for a long")
+    return score
 
 
 def shard_top_k(vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries: np.ndarray,
                 query_rows: np.ndarray, k: int, strip: int = STRIP):
     """(query, place in ``vectors``, score) of each query's ``k`` best in a shard, ties to the
-    smaller id; a query's own row is left out. Integer inputs."""
+    smaller id; a query's own row is left out. Integer inputs; a score beyond a long is an
+    error."""
     lengths = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
     order = np.lexsort((rows, ids, -lengths))
     vectors, ids, rows, lengths = (x[order] for x in (vectors, ids, rows, lengths))
@@ -72,6 +84,10 @@ def shard_top_k(vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries:
             for a in range(0, len(at), 1 << 15):
                 b = slice(a, a + (1 << 15))
                 scores[at[b], to[b]] = (queries[open_[at[b]]] * vectors[low + to[b]]).sum(axis=1)
+            # By Cauchy-Schwarz no sum of the others passes the range of a long.
+            far = wanted_all[open_[at]] * lengths[low + to] >= 2.0 ** 62
+            for a, b in zip(at[far].tolist(), to[far].tolist(), strict=True):
+                scores[a, b] = long_product(queries[open_[a]], vectors[low + b])
         for place, query in enumerate(open_.tolist()):
             hits = np.flatnonzero(alive[place])
             if not len(hits):

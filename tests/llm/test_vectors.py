@@ -126,3 +126,24 @@ def test_no_vectors(spark):
     assert hnsw.search(frame(spark, [(50, [0.0, 0.0]), (100, None)])).collect() == []
     both = hnsw.search(frame(spark, [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (51, [2.0, 0.0])]))
     assert [tuple(r) for r in both.collect()] == [(50, 1, 51, 1.0)]
+
+
+def test_large_components_are_exact_or_an_error(spark):
+    rows = [(0, [20000.0, 1.0]), (1, [20000.0, 0.0]), (2, [30000.0, 0.0]), (3, [-2.0 ** 20, 1.0]),
+            (100, [2.0 ** 21, -(2.0 ** 21)]), (101, [2.0 ** 21 + 1, 2.0 ** 21])]
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = []
+    for q, x in whole:
+        if q % 100 == 0:
+            near = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i)
+                          for i, y in whole if i != q)
+            want += [(q, place + 1, i, -s) for place, (s, i) in enumerate(near)]
+    assert sorted(tuple(r) for r in topk.search(frame(spark, rows)).collect()) == sorted(want)
+    # Terms that pass a long cancel out.
+    x = np.array([[1 << 40, 1 << 40], [1 << 40, -(1 << 40)], [1 << 40, 5 - (1 << 40)]])
+    owner, where, score = topk.shard_top_k(x, np.arange(3), np.arange(3), x[:1], np.arange(1), 2)
+    assert where.tolist() == [2, 1] and score.tolist() == [5 << 40, 0]
+    with pytest.raises(OverflowError):
+        topk.shard_top_k(x, np.arange(3), np.arange(3), x[:1] << 1, np.array([9]), 2)
+    with pytest.raises(Exception, match="too large"):
+        topk.search(frame(spark, [(0, [3e38]), (1, [1.0])])).collect()
