@@ -27,11 +27,15 @@ from harvestry.session import ship_package
 
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr br img input".split())
+    "ruby s samp small span strike strong sub sup time tt u var wbr br img input "
+    # Formulas are read in line; their annotations repeat them.
+    "math semantics mrow mi mo mn ms mtext msup msub msubsup mfrac msqrt mroot mover munder "
+    "munderover mtable mtr mlabeledtr mtd mspace mstyle mpadded mphantom menclose mfenced "
+    "mmultiscripts mprescripts none merror maction annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is raw up to the end tag, or not text at all.
 RAW = frozenset("script style textarea title iframe noscript noembed noframes xmp".split())
-UNSEEN = frozenset("template svg math object audio video canvas select datalist".split())
+UNSEEN = frozenset("template svg object audio video canvas select datalist annotation annotation-xml".split())
 #: A start tag of the key ends an open tag of the value, unless one of STOPS stands between.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
           "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -183,9 +187,8 @@ def text_features(block: Block) -> tuple[str, ...]:
     words = block.text.count(" ") + 1
     size = next((str(n) for n in (1, 3, 6, 12, 30) if words <= n), "more")
     density = min(3, int(4 * block.linked / len(block.text)))
-    short = block.text[:200]
     return (f"n:{size}", f"link:{density}", f"end:{block.text.endswith(ENDS)}",
-            *(name for name, pattern in HINTS.items() if pattern.search(short)))
+            *(name for name, pattern in HINTS.items() if pattern.search(block.text)))
 
 
 @dataclass

@@ -101,3 +101,19 @@ def test_rows(spark):
     assert [r["n_chars"] for r in rows] == [len(r["text"]) for r in rows]
     assert (rows[2]["text"], rows[3]["text"]) == ("", "")
     assert html_crf.extract(pages.limit(0)).collect() == []
+
+
+def test_hints_late_in_a_block():
+    long_ = "word " * 60
+    for hint, name in (("all rights reserved", "rights"), ("cookies", "consent")):
+        assert name in html_crf.text_features(html_crf.Block((), long_ + hint, 0))
+    assert "act" not in html_crf.text_features(html_crf.Block((), long_ + "search", 0))
+
+
+def test_formulas_are_inline_text():
+    page = ("<p>Here <math><semantics><mrow><msup><mi>x</mi><mn>2</mn></msup><mo>=</mo><mspace/>"
+            "<mn>4</mn></mrow><annotation encoding='tex'>x^2=4</annotation></semantics></math>"
+            " holds.</p><p>y")
+    assert texts(page) == ["Here x2=4 holds.", "y"]
+    whole = PAGE.replace("Second paragraph here.", "Second <math><mi>e</mi></math> here.")
+    assert "Second e here. It has two sentences." in html_crf.main_text(whole, MODEL)
