@@ -81,6 +81,18 @@ class EliasFano:
                 return (place - i << self.low_bits) | int(self._low(i, i + 1)[0])
             wanted, byte, skip = wanted - len(ones), byte + 64, 0
 
+    def between(self, first: int, last: int) -> np.ndarray:
+        """Values ``first`` to ``last`` - 1, reading between the sampled places around them."""
+        if first >= last:
+            return np.zeros(0, np.int64)
+        start, after = int(self.samples[first // SAMPLE]), -(-last // SAMPLE)
+        stop = int(self.samples[after]) if after < len(self.samples) else 8 * len(self.high)
+        bits = np.unpackbits(self.high[start // 8:(stop + 7) // 8], bitorder="little")
+        bits[:start % 8] = 0
+        ones = np.flatnonzero(bits)[first % SAMPLE:][:last - first]
+        return (ones + start // 8 * 8 - np.arange(first, last) << self.low_bits) | self._low(
+            first, last)
+
     def all(self) -> np.ndarray:
         places = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))
         return (places - np.arange(self.n) << self.low_bits) | self._low(0, self.n)
@@ -96,8 +108,9 @@ def pack_image(doc_ids: np.ndarray, n_null: int, lengths: np.ndarray, ids: np.nd
     return head + b"".join(struct.pack("<Q", len(p)) + p for p in parts)
 
 
-def open_image(image: bytes):
-    """(doc ids with None for null, Elias-Fano document ends, ids) of a shard."""
+def open_parts(image: bytes):
+    """(number of null doc ids, what to add to the others, these, document ends, ids) of a shard;
+    the others and the ends Elias-Fano coded."""
     magic, width, n_docs, n_null, n_ids, first = struct.unpack_from(HEADER, image)
     if magic != MAGIC:
         raise ValueError("not a token-id shard")
@@ -107,8 +120,14 @@ def open_image(image: bytes):
         parts.append(memoryview(image)[at + 8:at + 8 + size])
         at += 8 + size
     ids = np.frombuffer(parts[0], "<u2" if width == 2 else "<u4", n_ids)
-    known = EliasFano(bytes(parts[2])).all() + first if n_docs > n_null else np.zeros(0, np.int64)
-    return [None] * n_null + known.tolist(), EliasFano(bytes(parts[1])), ids
+    return n_null, first, EliasFano(bytes(parts[2])), EliasFano(bytes(parts[1])), ids
+
+
+def open_image(image: bytes):
+    """(doc ids with None for null, Elias-Fano document ends, ids) of a shard."""
+    n_null, first, known, ends, ids = open_parts(image)
+    known = known.all() + first if known.n else np.zeros(0, np.int64)
+    return [None] * n_null + known.tolist(), ends, ids
 
 
 def token_images(documents: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
@@ -175,17 +194,22 @@ def read_documents(spark: SparkSession, path: str, reduce=None, result: str | No
         for batch in batches:
             for part, shard, image in zip(*(batch.column(i).to_pylist() for i in range(3)),
                                           strict=True):
-                names, ends, ids = open_image(image)
-                ends = ends.all()
-                starts = np.concatenate([[0], ends[:-1]])
-                for low in range(0, len(names), 4096):
-                    some = range(low, min(low + 4096, len(names)))
-                    own = [ids[starts[i]:ends[i]].astype("<u4") for i in some]
+                n_null, first, known, coded, ids = open_parts(image)
+                start = 0
+                for low in range(0, coded.n, 4096):
+                    high = min(low + 4096, coded.n)
+                    ends = coded.between(low, high)
+                    starts = np.concatenate([[start], ends[:-1]])
+                    start = int(ends[-1])
+                    names = [None] * max(0, min(high, n_null) - low) + (first + known.between(
+                        max(0, low - n_null), max(0, high - n_null))).tolist()
+                    own = [ids[a:b].astype("<u4") for a, b in zip(
+                        starts.tolist(), ends.tolist(), strict=True)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([part] * len(own), pa.int32()),
                          pa.array([shard] * len(own), pa.int32()),
-                         pa.array([names[i] for i in some], pa.int64()),
-                         pa.array(starts[some.start:some.stop], pa.int64()),
+                         pa.array(names, pa.int64()),
+                         pa.array(starts, pa.int64()),
                          pa.array([len(o) for o in own], pa.int64()),
                          pa.array([reduce(o) for o in own]) if reduce else
                          pa.array([o.astype(np.int64) for o in own], pa.list_(pa.int64()))],

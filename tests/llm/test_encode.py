@@ -62,3 +62,23 @@ def test_image_round_trip():
     assert [ends.select(i) for i in range(3)] == [2, 3, 6]
     with pytest.raises(ValueError):
         open_image(b"x" * 60)
+
+
+def test_documents_are_read_by_range_select(spark, tmp_path):
+    from harvestry.llm import token_files
+    rng = np.random.default_rng(9)
+    values = np.cumsum(rng.integers(0, 90, 3000))
+    coded = token_files.EliasFano(token_files.EliasFano.pack(values))
+    for _ in range(200):
+        a, b = sorted(rng.integers(0, 3001, 2).tolist())
+        assert coded.between(a, b).tolist() == values[a:b].tolist()
+    lengths = rng.integers(1, 4, 9000)
+    image = token_files.pack_image(np.sort(rng.integers(-50, 10**12, 4000)), 5000, lengths,
+                                   np.arange(lengths.sum()), 4)
+    names, ends, _ = token_files.open_image(image)
+    spark.createDataFrame([(0, 0, 9000, int(lengths.sum()), image)], token_files.IMAGES
+                          ).write.parquet(str(tmp_path / "images"))
+    rows = token_files.read_documents(spark, str(tmp_path / "images")).orderBy("start").collect()
+    starts = [0, *ends.all().tolist()[:-1]]
+    assert [(r["doc_id"], r["start"], r["ids"][0]) for r in rows] == list(
+        zip(names, starts, starts, strict=True))
