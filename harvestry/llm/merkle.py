@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.operators.frontier import number_rows
-from harvestry.session import discard, ship_package, store
+from harvestry.session import ship_package, store
 
 ARITY = 16
 #: Levels that one builder completes, and the nodes it starts from.
@@ -281,7 +281,8 @@ def manifest(documents: DataFrame, tampered: Column | None = None,
         height = F.lit(0)
         for level in range(1, (stage + 1) * LEVELS + 1):
             height = F.when(F.col("n") > ARITY ** (level - 1), level).otherwise(height)
-        own = table.where((F.col("level") == height) & (F.col("index") == 0)).select(
+        ended = F.col("n") <= ARITY ** ((stage + 1) * LEVELS)
+        own = table.where(ended & (F.col("level") == height) & (F.col("index") == 0)).select(
             "tree", "n", "digest")
         roots = own if roots is None else roots.unionByName(own)
     # A tree's number counts the leaves before it, so it orders the sources.

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.llm import (
-    chunk_dedup, hnsw, html_crf, line_dedup, merkle, mixing, ngram_join, packing, quality,
-    spelling, token_files, topk)
+    chunk_dedup, hnsw, html_crf, line_dedup, merkle, minhash, mixing, ngram_join, packing,
+    quality, spelling, token_files, topk)
 from harvestry.plans.registry import table
 from harvestry.session import scratch_path
 
@@ -124,6 +124,11 @@ def op8_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(table(spark, sf_dir, "embeddings"))
 
 
+@query()
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
 def crc32_sql(text: str) -> str:
     """crc32 of a text's UTF-8 bytes, half a byte at a time."""
     digits = f"hex(encode({text}))"

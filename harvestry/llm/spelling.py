@@ -274,11 +274,12 @@ def variants(words: DataFrame, ratio: int = 10) -> DataFrame:
 
     The form is the near word of largest ``n`` (ties: the smallest in code-point order), if
     that is at least ``ratio`` times the word's own, else null; the root is where forms lead,
-    the word itself without one. A null word is no word; no words, no rows. ``ratio`` must be
-    above 1, so that forms lead upwards."""
+    the word itself without one. Words are made of the letters of ``ALPHABET``, as
+    :func:`corpus_words` gives them; a null or empty one is no word; no words, no rows.
+    ``ratio`` must be above 1, so that forms lead upwards."""
     if ratio <= 1:
         raise ValueError("ratio must be above 1")
-    words = store(words.where("word is not null").select("word", "n"), "spelling_words")
+    words = store(words.where("word <> ''").select("word", "n"), "spelling_words")
     near = near_words(words)
     best = near.groupBy("a").agg(F.count(F.lit(1)).alias("n_near"), F.min(
         F.struct((-F.col("nb")).alias("down"), "b")).alias("best"))
