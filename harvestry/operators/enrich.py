@@ -85,17 +85,22 @@ def cache_entries(items: DataFrame, namespace: str = NAMESPACE, seq: str = "seq"
 
 
 def latest_entries(entries: DataFrame) -> DataFrame:
-    """Per key the entry with the highest ``seq``; equal ones are settled by value."""
-    best = F.max(F.struct("seq", "value"))
-    return (entries.groupBy("key").agg(best.alias("_best"))
-            .select("key", "_best.value", "_best.seq"))
+    """Per key the entry with the highest ``seq``; equal ones are settled by value.
+
+    Of all entries the numbers are aggregated, by hash; texts only of those that are latest."""
+    newest = entries.groupBy("key").agg(F.max("seq").alias("seq"))
+    last = entries.join(newest, ["key", "seq"])
+    return last.groupBy("key").agg(F.max("value").alias("value"),
+                                   F.first("seq").alias("seq"))
 
 
 def merge_cache(cache: DataFrame, rows: DataFrame) -> DataFrame:
-    """The cache after a run: the run's last row per key overwrites an older value. Takes
-    unreduced :func:`cache_rows`, so that they are shuffled once."""
-    old = cache.select("key", "value", F.lit(None).cast("long").alias("seq"))
-    return latest_entries(old.unionByName(rows.select("key", "value", "seq"))).drop("seq")
+    """The cache after a run: the run's last row per key overwrites an older value (the
+    largest one, of a key that repeats)."""
+    fresh = latest_entries(rows).select("key", "value")
+    kept = cache.join(fresh.select("key"), "key", "left_anti").groupBy("key").agg(
+        F.max("value").alias("value"))
+    return kept.unionByName(fresh)
 
 
 def settle_replies(replies: DataFrame, retry: bool = True) -> DataFrame:
@@ -112,13 +117,16 @@ def settle_replies(replies: DataFrame, retry: bool = True) -> DataFrame:
         F.when(good, point["lat"]).alias("lat"), F.when(good, point["lng"]).alias("lon"))
     over = F.coalesce("over", F.lit(False))
     final = F.when(~over, F.col("attempt")) if retry else F.col("attempt")
+    parsed = parsed.withColumn("_final", final)
     # Numbers, not a struct: these aggregate by hash, without sorting all replies.
     settled = parsed.groupBy("address").agg(
-        F.min_by("lat", final).alias("lat"), F.min_by("lon", final).alias("lon"),
+        F.min("_final").alias("_final"),
         (F.count_if(over) if retry else F.lit(0).cast("long")).alias("retries"))
-    return settled.select(
-        "address", F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(),
-                          F.struct("lat", "lon")).alias("found"), "retries")
+    # Of replies with the same attempt one is taken whole: that with the lowest place.
+    place = F.when(F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.struct("lat", "lon"))
+    found = parsed.join(settled.select("address", "_final"), ["address", "_final"]).groupBy(
+        "address").agg(F.min(place).alias("found"))
+    return settled.join(found, "address", "left").select("address", "found", "retries")
 
 
 def from_replies(items: DataFrame, settled: DataFrame) -> DataFrame:

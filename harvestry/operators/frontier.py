@@ -50,16 +50,20 @@ def with_target(batches: DataFrame, targets: list[str], batch: str = "batch") ->
     return batches.withColumn("target", F.get(F.array(*map(F.lit, targets)), turn))
 
 
-def url_batches(firsts: DataFrame, size: int, targets: list[str]) -> DataFrame:
-    """(batch, target, n, urls): distinct URLs in first-seen order cut into batches of
-    ``size``, the last one possibly smaller; ``urls`` is a JSON array of at most ``size``."""
-    numbered = number_rows(firsts.select("url", "pos"), ["pos", "url"])
+def batch_rows(numbered: DataFrame, size: int) -> DataFrame:
+    """(batch, n, urls) of numbered URLs; ``urls`` is a JSON array of at most ``size``."""
     batch = F.expr(f"(number - 1) div {int(size)} + 1")
     ordered = F.array_sort(F.collect_list(F.struct("number", "url")))
-    grouped = numbered.groupBy(batch.alias("batch")).agg(
+    return numbered.groupBy(batch.alias("batch")).agg(
         F.count(F.lit(1)).alias("n"),
         F.to_json(F.transform(ordered, lambda row: row["url"])).alias("urls"))
-    return with_target(grouped, targets).select("batch", "target", "n", "urls")
+
+
+def url_batches(firsts: DataFrame, size: int, targets: list[str]) -> DataFrame:
+    """(batch, target, n, urls): distinct URLs in first-seen order cut into batches of
+    ``size``, the last one possibly smaller."""
+    numbered = number_rows(firsts.select("url", "pos"), ["pos", "url"])
+    return with_target(batch_rows(numbered, size), targets).select("batch", "target", "n", "urls")
 
 
 def route(outputs: DataFrame, target_rule: int) -> DataFrame:

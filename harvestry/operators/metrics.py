@@ -85,16 +85,10 @@ class Gauge:
     weight: str | None = None
 
 
-def gauges(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
-    """(tick, gauge, value) sampled every ``seconds``; a tick is epoch seconds / ``seconds``.
-
-    Each lifecycle becomes a +/- pair per gauge, summed per tick and materialised, so the
-    items are read once. The running sum goes by blocks of ticks with the sums of earlier
-    blocks added, so no task sees all ticks.
-    """
+def gauge_changes(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
+    """(gauge, tick, change): a +/- pair per item and gauge, summed per tick. The first sample
+    at or after a moment sees the change."""
     step = seconds * 1000000
-
-    # The first sample at or after a moment sees the change.
     moments = sorted({m for gauge in wanted for m in (gauge.start, gauge.end) if m})
     items = items.withColumns({
         f"_at_{m}": F.ceil((micros(items, m)) / step) for m in moments})
@@ -109,8 +103,19 @@ def gauges(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
         changes.append(change(gauge.name, gauge.start, amount))
         if gauge.end:
             changes.append(change(gauge.name, gauge.end, -amount))
-    per_tick = cut_lineage(items.select(F.inline(F.array(*changes)))
-                           .groupBy("gauge", "tick").agg(F.sum("change").alias("change")))
+    return (items.select(F.inline(F.array(*changes)))
+            .groupBy("gauge", "tick").agg(F.sum("change").alias("change")))
+
+
+def gauges(items: DataFrame, wanted: list[Gauge], seconds: int) -> DataFrame:
+    """(tick, gauge, value) sampled every ``seconds``; a tick is epoch seconds / ``seconds``.
+    The changes are materialised, so the items are read once."""
+    return gauge_levels(cut_lineage(gauge_changes(items, wanted, seconds)), wanted)
+
+
+def gauge_levels(per_tick: DataFrame, wanted: list[Gauge]) -> DataFrame:
+    """(tick, gauge, value) from written (gauge, tick, change). The running sum goes by blocks
+    of ticks with the sums of earlier blocks added, so no task sees all ticks."""
     names = F.array(*[F.lit(gauge.name) for gauge in wanted])
     dense = (_ticks(per_tick.agg(F.min("tick").alias("lo"), F.max("tick").alias("hi")))
              .select("tick", F.explode(names).alias("gauge"))
@@ -142,9 +147,34 @@ def gauge_table(values: DataFrame, wanted: list[Gauge]) -> DataFrame:
         "%8d" * (len(names) - 1) + "%10d", *names))
 
 
+def rate_bursts(calls: DataFrame, key: str, ts: str, limit: int, seconds: int = 1,
+                slots: int = 64) -> DataFrame:
+    """(key, ts, calls) of the calls that come less than ``seconds`` after the one ``limit``
+    places before: the moments at which a caller went over its limit, wherever a clock would
+    cut. ``calls`` counts those within ``seconds`` up to and with the moment.
+
+    A key's calls are dealt into time ranges of ``slots`` intervals, each with the interval
+    before it as well, so a hot key is split over many tasks and no burst is cut."""
+    at = micros(calls, ts)
+    span, width = seconds * 1000000, seconds * 1000000 * slots
+    dealt = calls.select(key, F.col(ts).alias("_ts"), at.alias("_at")).where(
+        "_at is not null").withColumn("_own", F.expr(f"(_at - pmod(_at, {width})) div {width}"))
+    # The end of a range is also the start of the next one.
+    late = F.col("_at") - F.col("_own") * width >= width - span
+    dealt = dealt.withColumn("_range", F.explode(F.when(
+        late, F.array("_own", F.col("_own") + 1)).otherwise(F.array("_own"))))
+    order = Window.partitionBy(key, "_range").orderBy("_at")
+    within = order.rangeBetween(-span + 1, 0)
+    return (dealt.withColumn("_before", F.lag("_at", limit).over(order))
+            .withColumn("calls", F.count(F.lit(1)).over(within))
+            .where((F.col("_own") == F.col("_range")) & (F.col("_at") - F.col("_before") < span))
+            .select(key, F.col("_ts").alias(ts), "calls"))
+
+
 def rate_violations(calls: DataFrame, key: str, ts: str, limit: int,
                     seconds: int = 1) -> DataFrame:
-    """(key, start, calls) of the intervals with more than ``limit`` calls."""
+    """(key, start, calls) of the clock intervals with more than ``limit`` calls; a burst over
+    an interval's end is seen by :func:`rate_bursts`."""
     return (calls.groupBy(key, F.window(ts, f"{seconds} seconds").alias("w"))
             .agg(F.count(F.lit(1)).alias("calls")).filter(F.col("calls") > limit)
             .select(key, F.col("w.start").alias("start"), "calls"))

@@ -58,6 +58,12 @@ def wanted_targets(config: DataFrame, names: list[str]) -> DataFrame:
     return found
 
 
+def asked_targets(config: DataFrame, asked: DataFrame) -> DataFrame:
+    """The configured targets among those of a table (target), however many."""
+    return config.select("target").join(asked.select("target"), "target",
+                                        "left_semi").distinct()
+
+
 def jobs_by_state(jobs: DataFrame, states: tuple[str, ...] = STATES) -> DataFrame:
     """(target, one count per state) from (target, state) rows."""
     return jobs.groupBy("target").agg(

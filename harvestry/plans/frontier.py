@@ -103,9 +103,12 @@ def batches(spark, sf_dir) -> DataFrame:
         frontier.first_seen(line_requests(spark, sf_dir)), BATCH_SIZE, TARGETS)
 
 
-@query(f"""
+URL_BATCHES_SQL = f"""
     {_BATCHES} SELECT batch, {_TARGET} AS target, n,
-      '["' || array_to_string(links, '","') || '"]' AS urls FROM batches""")
+      '["' || array_to_string(links, '","') || '"]' AS urls FROM batches"""
+
+
+@query(URL_BATCHES_SQL)
 def url_batches(spark, sf_dir):
     return batches(spark, sf_dir)
 

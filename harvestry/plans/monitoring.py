@@ -193,6 +193,20 @@ def rate_violations(spark, sf_dir):
     return found.select("user_id", stamp("start").alias("start"), "calls")
 
 
+@query("""
+    SELECT user_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, calls FROM (
+      SELECT user_id, ts, count(*) OVER (PARTITION BY user_id ORDER BY ts
+               RANGE BETWEEN INTERVAL 3599999999 MICROSECONDS PRECEDING AND CURRENT ROW) AS calls,
+             lag(ts, 2) OVER (PARTITION BY user_id ORDER BY ts) AS earlier
+      FROM events)
+    WHERE epoch_us(ts) - epoch_us(earlier) < 3600000000""")
+def rate_bursts(spark, sf_dir):
+    """Calls of users who made more than two within any hour, also over the full hour."""
+    found = metrics.rate_bursts(table(spark, sf_dir, "events"), "user_id", "ts", 2, HOUR)
+    return found.select("user_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+                        "calls")
+
+
 @query("""
     SELECT target, running, finished, pending,
            format('{:<20s} running: {:d}, finished: {:d}, pending: {:d}',
@@ -227,20 +241,19 @@ def job_status(spark, sf_dir):
     return status.job_status(replies)
 
 
-REQUESTED = [f"target{n}" for n in range(0, 2000, 7)]
-
-
 @query("""
-    SELECT 'target' || event_id AS target FROM events
-    WHERE event_id < 2000 AND event_id % 7 = 0 AND event_type <> 'error'""")
+    SELECT DISTINCT 'target' || event_id AS target FROM events
+    WHERE event_type <> 'error' AND event_id IN (SELECT l_suppkey FROM lineitem)""")
 def requested_status(spark, sf_dir):
-    """The status of the targets asked for by name, among those configured."""
+    """The status of the targets asked for by name (one per supplier with line items), among
+    those configured."""
     events = table(spark, sf_dir, "events").select(
         F.concat(F.lit("target"), F.col("event_id").cast("string")).alias("target"),
         F.when(F.col("event_type") == "error", 500).otherwise(200).alias("code"),
         F.lit('{"running":[],"finished":[]}').alias("body"))
-    wanted = status.wanted_targets(events, REQUESTED)
-    return status.job_status(events, wanted).select("target")
+    asked = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("target"), F.col("l_suppkey").cast("string")).alias("target"))
+    return status.job_status(events, status.asked_targets(events, asked)).select("target")
 
 
 @query("""

@@ -7,70 +7,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from harvestry.operators.enrich import cache_entries, from_cache, latest_entries
+from harvestry.operators.enrich import cache_entries, cache_key, first_address, from_cache
+from harvestry.streaming.runs import KeyedRuns
 
-ENTRY = T.StructType([
-    T.StructField("key", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("batch_id", T.LongType()),
-])
+ENTRY = T.StructType([T.StructField("key", T.StringType()),
+                      T.StructField("value", T.StringType())])
 
 
-#: Every so many batches the log is compacted, so that a batch reads one snapshot and a tail
-#: of fewer batches than this, however long the stream has run.
-COMPACTED = 16
+def cache_runs(path: str, buckets: int = 16, fan: int = 4) -> KeyedRuns:
+    """The cache (key, value) as runs. Run 0 is the seed, the stream's batch N is run N + 1."""
+    return KeyedRuns(path, ENTRY, buckets=buckets, fan=fan)
 
 
-def read_cache(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
-    """The cache (key, value): each key's entry from the latest batch. The cache is a log of
-    per-batch folders; ``before`` shows it as it was ahead of that batch, from the last
-    snapshot and the batches since."""
-    log = spark.read.schema(ENTRY).parquet(f"{path}/log")
-    if before is not None:
-        since = before // COMPACTED * COMPACTED
-        log = log.filter(F.col("batch_id") < before)
-        if since:
-            log = log.filter(F.col("batch_id") >= since).unionByName(
-                spark.read.schema(ENTRY).parquet(f"{path}/snapshot/{since}"))
-    return latest_entries(log.select(
-        "key", "value", F.struct("batch_id", "seq").alias("seq"))).drop("seq")
+def seed_cache(cache: KeyedRuns, entries: DataFrame) -> None:
+    """The entries the stream starts from, one per key; call it once, with no rows for none."""
+    cache.write(entries, 0)
 
 
-def write_entries(entries: DataFrame, path: str, batch_id: int) -> None:
-    (entries.select("key", "value", "seq").write.mode("overwrite")
-     .parquet(f"{path}/log/batch_id={batch_id}"))
+def read_cache(spark: SparkSession, cache: KeyedRuns, before: int) -> DataFrame:
+    """The cache (key, value) as it was ahead of the stream's batch ``before``."""
+    return cache.before(spark, before + 1)
 
 
-def compact(spark: SparkSession, path: str, batch_id: int) -> None:
-    """Ahead of every COMPACTED-th batch, write each key's latest entry as a snapshot; a
-    repeated batch rewrites it."""
-    if batch_id <= 0 or batch_id % COMPACTED:
-        return
-    last = batch_id - COMPACTED
-    log = spark.read.schema(ENTRY).parquet(f"{path}/log").filter(
-        (F.col("batch_id") < batch_id) & (F.col("batch_id") >= (last or -1)))
-    if last:
-        log = log.unionByName(spark.read.schema(ENTRY).parquet(f"{path}/snapshot/{last}"))
-    latest = latest_entries(log.select("key", "value", F.struct("batch_id", "seq").alias("seq")))
-    (latest.select("key", "value", "seq.seq", "seq.batch_id").write.mode("overwrite")
-     .parquet(f"{path}/snapshot/{batch_id}"))
-
-
-def start_cached(items: DataFrame, locate, cache: str, out: str, checkpoint: str,
+def start_cached(items: DataFrame, locate, cache: KeyedRuns, out: str, checkpoint: str,
                  **trigger) -> StreamingQuery:
     """Per micro-batch: fill locations from the cache, ``locate`` the rest (DataFrame ->
-    DataFrame), write the items to ``<out>/batch_id=N`` and only the batch's own entries to
-    the cache log. The items are written before their entries are derived from them, so a
-    repeated batch rewrites the same folders. Seed the cache as batch -1.
+    DataFrame), write the items to ``<out>/batch_id=N`` and the batch's own entries to the
+    cache, so that later batches find them. Only the buckets of addresses without a location
+    are read. The items are written before their entries are derived from them, so a
+    repeated batch rewrites the same folders.
     """
     def publish(batch: DataFrame, batch_id: int) -> None:
         spark, path = batch.sparkSession, f"{out}/batch_id={batch_id}"
-        compact(spark, cache, batch_id)
-        done = locate(from_cache(batch, read_cache(spark, cache, before=batch_id)))
+        cache.merge(spark, batch_id + 1)
+        cold = batch.where("location is null").select(cache_key(first_address()).alias("key"))
+        known = cache.before(spark, batch_id + 1, touched=cold)
+        done = locate(from_cache(batch, known))
         done.write.mode("overwrite").parquet(path)
         written = spark.read.schema(done.schema).parquet(path)
-        write_entries(cache_entries(written), cache, batch_id)
+        cache.write(cache_entries(written).select("key", "value"), batch_id + 1)
 
     return (items.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
