@@ -2,18 +2,60 @@
 
 Unbranched stretches are contracted first, by doubling; then the joints that remain are
 walked level by level with weighted links. So a long chain costs rounds by the logarithm of
-its length wherever it stands, and only branching costs a round per level. All rounds read
-and write a fixed number of tables below the shared folder, and drop those they replace.
+its length wherever it stands, and only branching costs a round per level. A round writes what it
+newly reached, below the shared folder; tables are dropped as they are replaced.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestry.session import discard, store
 
 
+#: Links per bucket of the tables that are joined by URL; rounds merged into one table.
+BUCKET_LINKS, MERGED = 1_000_000, 8
+
+
+class Visited:
+    """Pages reached so far: a table per round with only what that round reached (or reached by
+    fewer links), bucketed by URL, so that a round neither shuffles nor rewrites the rest.
+    ``MERGED`` tables of a size class become one of the next, so few are read at any time and a
+    page is rewritten only a logarithmic number of times."""
+
+    def __init__(self):
+        self.classes: list[list[DataFrame]] = []
+
+    def add(self, table: DataFrame, written, at: int = 0) -> None:
+        if at == len(self.classes):
+            self.classes.append([])
+        self.classes[at].append(table)
+        if len(self.classes[at]) == MERGED:
+            merged = written(_least(self.classes[at]))
+            # The round's own table is still to be read: the caller's ``fresh``.
+            for old in self.classes[at]:
+                if at or old is not table:
+                    discard(old)
+            self.classes[at] = []
+            self.add(merged, written, at + 1)
+
+    def least(self) -> DataFrame:
+        """(url, depth) of all pages so far."""
+        return _least([table for tables in self.classes for table in tables])
+
+    def drop(self) -> None:
+        for tables in self.classes:
+            for table in tables:
+                discard(table)
+
+
+def _least(tables: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, tables).groupBy("url").agg(F.min("depth").alias("depth"))
+
+
 def _contracted(seeds: DataFrame, edges: DataFrame) -> DataFrame:
     """(url, head, offset) of the pages within unbranched stretches: pages with one link in
     and one out that are no seeds. ``head`` is the joint the stretch starts from.
@@ -56,21 +98,24 @@ def reach(seeds: DataFrame, edges: DataFrame) -> DataFrame:
         F.coalesce("head", "src").alias("src"), "dst",
         (F.coalesce("offset", F.lit(0)) + 1).cast("long").alias("length"))
         .groupBy("src", "dst").agg(F.min("length").alias("length")), "reach_links")
-    reached = store(seeds.withColumns({
-        "depth": F.lit(0).cast("long"), "fresh": F.lit(True)}), "reach_joints")
-    while True:
-        landed = (reached.where("fresh").join(links, reached["url"] == links["src"])
+    buckets = max(1, -(-links.count() // BUCKET_LINKS))
+
+    def written(rows: DataFrame) -> DataFrame:
+        return store(rows, "reach_joints", "url", buckets)
+
+    fresh = written(seeds.withColumn("depth", F.lit(0).cast("long")))
+    visited = Visited()
+    while not fresh.isEmpty():
+        visited.add(fresh, written)
+        landed = (fresh.join(links, fresh["url"] == links["src"])
                   .groupBy(links["dst"].alias("url"))
                   .agg(F.min(F.col("depth") + F.col("length")).alias("landed")))
-        grown = store(reached.join(landed, "url", "full").select(
-            "url", F.least("depth", "landed").alias("depth"),
-            F.coalesce(F.col("landed") < F.col("depth"), F.col("depth").isNull())
-            .alias("fresh")), "reach_joints")
-        discard(reached)
-        reached = grown
-        if reached.where("fresh").isEmpty():
-            break
-    joints = reached.select("url", "depth")
+        known = visited.least()
+        fresh = written(landed.join(known, "url", "left").where(
+            F.col("depth").isNull() | (F.col("landed") < F.col("depth"))).select(
+            "url", F.col("landed").alias("depth")))
+    joints = written(visited.least())
+    visited.drop()
     stretches = inner.join(joints.select(F.col("url").alias("head"), "depth"), "head").select(
         "url", (F.col("depth") + F.col("offset")).alias("depth"))
     return joints.unionByName(stretches)

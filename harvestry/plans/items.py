@@ -141,7 +141,7 @@ def image_manifest(spark, sf_dir):
 _PREFIX = "http://web:9312/" + "long-path/" * 8  # with a key of 5 or more digits over 100
 
 
-@query(f"""
+UPSERT_SQL = f"""
     WITH rows AS (
       SELECT ('{_PREFIX}' || l_partkey)[1:100] AS url,
              ('order ' || l_orderkey || ' of line ' || l_linenumber || ' in all its length')[1:30]
@@ -155,9 +155,11 @@ _PREFIX = "http://web:9312/" + "long-path/" * 8  # with a key of 5 or more digit
     SELECT url, title, price, description FROM (
       SELECT *, row_number() OVER (PARTITION BY url
         ORDER BY seq DESC, title DESC, price DESC, description DESC) AS r FROM rows)
-    WHERE r = 1""")
-def upsert_rows(spark, sf_dir):
-    """Line items replace the parts' rows by cut URL, the latest version winning."""
+    WHERE r = 1"""
+
+
+def _versions(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Rows of the parts, and of the line items that replace them by cut URL."""
     def items(source, key, title, price, description, seq):
         return source.select(
             F.array(F.concat(F.lit(_PREFIX), F.col(key).cast("string"))).alias("url"),
@@ -175,9 +177,29 @@ def upsert_rows(spark, sf_dir):
         F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     old = items(table(spark, sf_dir, "part"), "p_partkey", F.col("p_name"),
                 F.col("p_retailprice"), F.col("p_type"), F.lit(-1).cast("long"))
-    done = rows.upsert(rows.upsert_rows(old, cut_key=True).drop("seq"),
-                       rows.upsert_rows(new, cut_key=True))
-    return done.drop("key")
+    return rows.upsert_rows(old, cut_key=True), rows.upsert_rows(new, cut_key=True)
+
+
+@query(UPSERT_SQL)
+def upsert_rows(spark, sf_dir):
+    """Line items replace the parts' rows by cut URL, the latest version winning."""
+    old, new = _versions(spark, sf_dir)
+    return rows.upsert(old.drop("seq"), new).drop("key")
+
+
+@query(UPSERT_SQL)
+def upsert_table(spark, sf_dir):
+    """The same into a written target: the parts' rows, then the line items in two runs, each
+    replacing the key buckets it touches."""
+    path = scratch_path(spark, "target")
+    old, new = _versions(spark, sf_dir)
+    rows.upsert_table(old, path)
+    # Each key's latest rows come in the second run.
+    newest = new.groupBy("key").agg(F.max("seq").alias("last"))
+    run = new.join(newest, "key")
+    rows.upsert_table(run.where(F.col("seq") < F.col("last")).drop("last"), path)
+    rows.upsert_table(run.where(F.col("seq") == F.col("last")).drop("last"), path)
+    return rows.read_table(spark, path).drop("key")
 
 
 def legacy_sql(price: str) -> str:

@@ -109,6 +109,42 @@ def arrivals(rows: DataFrame, path: str, turn, batches: int = FEED_BATCHES) -> i
 _TURN = f"CAST(o_orderkey % {FEED_BATCHES} AS INT)"
 
 
+_DAY = 86400
+
+
+@query(f"""
+    WITH RECURSIVE asked AS (
+      SELECT 'http://web:9312/item/' || l_partkey AS url, CAST(l_orderkey % {FEED_BATCHES} AS INT)
+               AS turn, CAST(epoch(CAST(l_shipdate AS DATE)) AS BIGINT) AS second
+      FROM lineitem),
+    own AS (SELECT url, turn, min(second) AS second, max(second) AS newest
+            FROM asked GROUP BY url, turn),
+    walk AS (
+      SELECT DISTINCT url, -1 AS turn, CAST(NULL AS BIGINT) AS last, CAST(NULL AS BIGINT) AS second,
+             false AS passes FROM asked
+      UNION ALL
+      SELECT w.url, w.turn + 1, greatest(w.last, o.newest), o.second,
+             o.turn IS NOT NULL AND (w.last IS NULL OR o.second - w.last > {30 * _DAY})
+      FROM walk w LEFT JOIN own o ON o.url = w.url AND o.turn = w.turn + 1
+      WHERE w.turn < {FEED_BATCHES - 1})
+    SELECT url, second FROM walk WHERE passes""")
+def bounded_dedup_stream(spark, sf_dir):
+    """Requests per line item in several micro-batches, in no order of time: a URL passes again
+    30 days after it was last asked for, and late ones pass if they were not seen."""
+    root = scratch_path(spark, "bounded")
+    session = stream_session(spark)
+    requests = table(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("http://web:9312/item/"), F.col("l_partkey").cast("string")).alias("url"),
+        F.unix_date(F.col("l_shipdate").cast("date")).cast("long").alias("day"), "l_orderkey")
+    requests = requests.withColumn("second", F.col("day") * _DAY)
+    files = arrivals(requests, f"{root}/in", F.col("l_orderkey") % FEED_BATCHES)
+    feed = stream_table(session, f"{root}/in", requests.schema, files_per_trigger=files)
+    frontier.start_bounded_dedup(feed, frontier.seen_runs(f"{root}/seen", 30 * _DAY),
+                                 f"{root}/out", f"{root}/checkpoint",
+                                 availableNow=True).awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("url", "second")
+
+
 @query(f"""
     WITH RECURSIVE {_ITEMS},
     lived AS (

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestry.functions.text import fits, one_line
 from harvestry.functions.urls import image_path, thumbnail_path
+from harvestry.session import cut_lineage
 
 # The widths of the target table's text columns.
 URL_WIDTH, TEXT_WIDTH = 100, 30
@@ -19,6 +21,9 @@ def item_documents(items: DataFrame, collection: str | None = None) -> DataFrame
         "collection", F.lit(collection))
 
 
+ROW = "key string, url string, title string, price double, description string"
+
+
 def upsert_rows(items: DataFrame, seq: str = "seq", cut_key: bool = False) -> DataFrame:
     """(key, url, title, price, description, seq): items cut to the table's widths. Items
     lacking any of the four are skipped. The key is the whole URL, or with ``cut_key`` what
@@ -51,6 +56,35 @@ def upsert(target: DataFrame, rows: DataFrame) -> DataFrame:
     return kept.unionByName(new)
 
 
+def upsert_table(rows: DataFrame, path: str, buckets: int = 64) -> list[int]:
+    """:func:`upsert` into a written target, a folder of ``buckets`` key buckets (the same
+    number for the target's life; a missing folder is an empty target). Only the buckets that
+    hold a written key are read and replaced, the files of all others stay; their numbers are
+    returned. Writing the same rows again changes nothing, so a failed run is repeated."""
+    spark = rows.sparkSession
+    bucket = F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int")
+    rows = cut_lineage(rows.where("key is not null"))
+    touched = [r[0] for r in rows.select(bucket).distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return []
+    try:
+        target = spark.read.schema(ROW + ", bucket int").parquet(path).where(
+            F.col("bucket").isin(touched))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        target = spark.createDataFrame([], ROW)
+    (upsert(target, rows).withColumn("bucket", bucket).repartition("bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+    return sorted(touched)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """(key, url, title, price, description) of a target."""
+    return spark.read.schema(ROW + ", bucket int").parquet(path).drop("bucket")
+
+
 def image_manifest(items: DataFrame) -> DataFrame:
     """(url, path, thumbnail) per distinct image."""
     return (items.select(F.explode("image_urls").alias("url")).distinct()

@@ -21,7 +21,8 @@ SLOTS = 4
 def new_urls(requests: DataFrame, url: str = "url", ts: str | None = None,
              within: str | None = None) -> DataFrame:
     """Each URL once. The set of seen URLs is kept for good, or with ``ts`` and ``within``
-    only as long as repeats are expected."""
+    only as long as repeats are expected; requests later than that are dropped then, which
+    :func:`start_bounded_dedup` does not do."""
     if ts and within:
         return requests.withWatermark(ts, within).dropDuplicatesWithinWatermark([url])
     return requests.dropDuplicates([url])
@@ -33,6 +34,42 @@ def start_dedup(requests: DataFrame, out: str, checkpoint: str, **trigger) -> St
             .trigger(**(trigger or {"processingTime": "5 seconds"})).start(out))
 
 
+LAST_SEEN = T.StructType([T.StructField("key", T.StringType()),
+                          T.StructField("last", T.LongType())])
+
+
+def seen_runs(path: str, within: int, buckets: int = 16, fan: int = 4) -> KeyedRuns:
+    """URLs with the second they were last asked for, dropped ``within`` seconds later."""
+    return KeyedRuns(path, LAST_SEEN, buckets=buckets, fan=fan, age="last", keep=within)
+
+
+def start_bounded_dedup(requests: DataFrame, seen: KeyedRuns, out: str, checkpoint: str,
+                        **trigger) -> StreamingQuery:
+    """Pass a URL of (url, second) on, to ``<out>/batch_id=N``, unless it was asked for at most
+    ``seen.keep`` seconds before.
+
+    What expires are seen URLs, by the time of the requests: their number stays bounded. A
+    request is never too late: a URL that has not been seen, or whose entry has expired, passes
+    however old the request is. Within a micro-batch a URL passes once, at its first second."""
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        spark, path = batch.sparkSession, f"{out}/batch_id={batch_id}"
+        seen.merge(spark, batch_id)
+        own = batch.where("url is not null").groupBy(F.col("url").alias("key")).agg(
+            F.min("second").alias("second"), F.max("second").alias("newest"))
+        known = seen.before(spark, batch_id, touched=own.select("key"))
+        judged = own.join(known, "key", "left").select(
+            "key", "second", F.greatest("newest", "last").alias("last"),
+            (F.col("last").isNull() | (F.col("second") - F.col("last") > seen.keep))
+            .alias("passes"))
+        # The seen set comes first; a repeated batch reads the state before it again.
+        seen.write(judged.select("key", "last"), batch_id)
+        judged.where("passes").select(F.col("key").alias("url"), "second").write.mode(
+            "overwrite").parquet(path)
+
+    return (requests.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "5 seconds"})).start())
+
+
 class UrlBatches:
     """URL batches of a stream below ``path``: the URLs seen (keyed runs), the batches that
     each micro-batch completed, and the URLs of the batch that is still open (of the last few

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -11,9 +11,6 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from harvestry.operators.enrich import QUOTA, first_address
 from harvestry.schemas import GEOCODE
 
-#: An item as text, or one attempt at an address.
-EVENT = ("address string, salt int, item string, attempt int, over boolean, lat double, "
-         "lon double")
 ANSWERED = T.StructType([T.StructField("item", T.StringType()),
                          T.StructField("geo", T.StringType()),
                          T.StructField("lat", T.DoubleType()),
@@ -47,7 +44,7 @@ class PendingLookup(StatefulProcessor):
         return None
 
     def handleInputRows(self, key, rows, timerValues):
-        place = self.settled.get() if self.settled.exists() else None
+        place = self.settled.get()
         for frame in rows:
             tries = frame[frame["item"].isna()]
             for row in tries.itertuples(index=False) if place is None else ():
@@ -76,7 +73,7 @@ def answered(items: list[str], place: tuple) -> pd.DataFrame:
                          "lon": pd.Series([lon] * len(items), dtype="float64")})
 
 
-def pending_lookups(items: DataFrame, replies: DataFrame, salts: int = 8) -> DataFrame:
+def pending_lookups(items: DataFrame, replies: DataFrame, salts: int = 2) -> DataFrame:
     """Streams of items (``address``, ``location`` and more) and of replies (address, attempt,
     body) to a stream of the items with ``location`` filled and ``geo``: already_set, found or
     error.
@@ -90,9 +87,14 @@ def pending_lookups(items: DataFrame, replies: DataFrame, salts: int = 8) -> Dat
     passing = items.where(ready).withColumn(
         "geo", F.when(F.col("location").isNotNull(), "already_set").otherwise("error"))
     text = F.to_json(F.struct(*[F.col(f"`{name}`") for name in items.columns]))
-    asking = items.where(~ready).select(
-        first_address().alias("address"), text.alias("item")).withColumn(
-        "salt", F.pmod(F.xxhash64("item"), F.lit(salts)).cast("int"))
+
+    def salted(salt: Column) -> Column:
+        # One text as key: that it may be null stays the same whichever stream has rows, as
+        # the state's schema must.
+        return F.concat("address", F.lit("#"), salt.cast("string")).alias("asked")
+
+    asking = items.where(~ready).select(first_address().alias("address"), text.alias("item"))
+    asking = asking.select(salted(F.pmod(F.xxhash64("item"), F.lit(salts))), "item")
     reply = F.col("_reply")
     point = F.get(reply["results"], F.lit(0))["geometry"]["location"]
     good = reply["status"] == "OK"
@@ -102,9 +104,9 @@ def pending_lookups(items: DataFrame, replies: DataFrame, salts: int = 8) -> Dat
         F.coalesce(reply["status"] == QUOTA, F.lit(False)).alias("over"),
         F.when(good, point["lat"]).cast("double").alias("lat"),
         F.when(good, point["lng"]).cast("double").alias("lon"))
-    events = heard.where("address is not null").unionByName(
-        asking.select("address", "salt", "item"), allowMissingColumns=True)
-    served = events.groupBy("address", "salt").transformWithStateInPandas(
+    heard = heard.select(salted(F.col("salt")), "item", "attempt", "over", "lat", "lon")
+    events = heard.where("asked is not null").unionByName(asking, allowMissingColumns=True)
+    served = events.groupBy("asked").transformWithStateInPandas(
         statefulProcessor=PendingLookup(), outputStructType=ANSWERED, outputMode="Append",
         timeMode="None")
     location = F.when(F.col("lat").isNotNull(), F.struct("lat", "lon"))
@@ -116,7 +118,7 @@ def pending_lookups(items: DataFrame, replies: DataFrame, salts: int = 8) -> Dat
 
 
 def start_pending(items: DataFrame, replies: DataFrame, out: str, checkpoint: str,
-                  salts: int = 8, **trigger) -> StreamingQuery:
+                  salts: int = 2, **trigger) -> StreamingQuery:
     """Write the items as they are answered."""
     return (pending_lookups(items, replies, salts).writeStream.outputMode("append")
             .format("parquet").option("checkpointLocation", checkpoint)

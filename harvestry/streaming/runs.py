@@ -45,6 +45,9 @@ class KeyedRuns:
     key: str = "key"
     buckets: int = 16
     fan: int = 4
+    #: A numeric column by which rows expire, and how far behind the largest one they are kept.
+    age: str | None = None
+    keep: int = 0
 
     def folder(self, level: int, number: int) -> str:
         return f"{self.path}/level={level}/slot={number % (2 * self.fan)}"
@@ -83,8 +86,14 @@ class KeyedRuns:
         while batch and batch % self.fan ** level == 0:
             number = batch // self.fan ** level - 1
             children = [(level - 1, number * self.fan + i) for i in range(self.fan)]
-            self._write(self._latest(self._read(spark, children)).select(
-                *self._columns(), BATCH), level, number)
+            rows = self._read(spark, children)
+            if self.age:
+                # The children's own latest moment: never ahead of the stream's.
+                newest = rows.agg(F.max(self.age)).first()[0]
+                rows = self._latest(rows).where(F.col(self.age) >= (newest or 0) - self.keep)
+            else:
+                rows = self._latest(rows)
+            self._write(rows.select(*self._columns(), BATCH), level, number)
             level += 1
 
     def before(self, spark: SparkSession, batch: int,

@@ -151,3 +151,17 @@ def test_repeated_cache_keys_multiply_nothing(spark):
                                    ("ADDRESS_CACHE:a", '{"lat":2.0,"lon":1.0}')],
                                   "key string, value string")
     assert [r.location.lat for r in enrich.from_cache(items, cache).collect()] == [2.0]
+
+
+def test_a_place_comes_from_one_reply(spark):
+    """Replies of the same attempt are not mixed: latitude and longitude belong together."""
+    def body(lat, lng):
+        return json.dumps({"status": "OK", "results": [
+            {"geometry": {"location": {"lat": lat, "lng": lng}}}]})
+
+    rows = [("a", 0, body(1.0, 9.0)), ("a", 0, body(2.0, 3.0)), ("a", 0, body(None, 1.0)),
+            ("b", 0, body(None, 5.0)), ("c", 0, '{"status": "OVER_QUERY_LIMIT"}')]
+    frame = spark.createDataFrame(rows, "address string, attempt int, body string")
+    got = {r.address: (r.found and tuple(r.found), r.retries)
+           for r in enrich.settle_replies(frame).collect()}
+    assert got == {"a": ((1.0, 9.0), 0), "b": (None, 0), "c": (None, 1)}

@@ -159,7 +159,8 @@ def test_long_chain_with_branches(spark, monkeypatch):
     """Rounds go by the logarithm of a stretch's length and by the joints on the way."""
     stored = []
     store = reach.store
-    monkeypatch.setattr(reach, "store", lambda df, label: stored.append(label) or store(df, label))
+    monkeypatch.setattr(reach, "store", lambda df, label, *more: stored.append(
+        label) or store(df, label, *more))
     n = 10_000
     chain = spark.range(n).selectExpr("concat('p', id) as src", "concat('p', id + 1) as dst")
     seeds = spark.createDataFrame([("p0",)], "url string")

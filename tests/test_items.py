@@ -155,3 +155,29 @@ def test_image_records(spark, tmp_path):
     stored = spark.read.format("binaryFile").load(str(file.parent))
     record = rows.image_records(manifest, stored, str(tmp_path)).first()
     assert record.checksum == hashlib.md5(b"image").hexdigest()
+
+
+def test_written_target_keeps_untouched_buckets(spark, tmp_path):
+    path = str(tmp_path / "target")
+
+    def rows_of(*keys, price=1.0, seq=0):
+        return spark.createDataFrame([(k, k, "t", price, "d", seq) for k in keys],
+                                     "key string, url string, title string, price double, "
+                                     "description string, seq long")
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "target").glob("bucket=*/*.parquet")}
+
+    keys = [f"k{i}" for i in range(40)]
+    assert rows.upsert_table(rows_of(), path) == []
+    assert len(rows.upsert_table(rows_of(*keys), path, 8)) == 8
+    before = files()
+    for _ in range(2):  # writing again changes nothing
+        touched = rows.upsert_table(rows_of("k3", "new", price=2.0, seq=1), path, 8)
+        got = {r.key: r.price for r in rows.read_table(spark, path).collect()}
+        assert got == {**{k: 1.0 for k in keys}, "k3": 2.0, "new": 2.0}
+    assert len(touched) <= 2
+    after = files()
+    kept = [f for f in before if int(f.parent.name.split("=")[1]) not in touched]
+    assert kept and all(after[f] == before[f] for f in kept)
+    assert all(f in kept for f in before if f in after)

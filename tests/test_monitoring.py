@@ -1,4 +1,5 @@
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -167,3 +168,27 @@ def test_later_settings_win(spark, tmp_path):
     found = status.target_config(read_settings(spark, str(tmp_path / "x.cfg")))
     assert sorted(map(tuple, found.collect())) == [
         ("s", "key", "y"), ("s", "project", "c"), ("s", "url", "two")]
+
+
+@pytest.mark.parametrize("slots", [1, 2, 64])
+def test_bursts_over_any_border(spark, slots):
+    """Against a plain sliding test; some calls have equal times, one key is hot."""
+    rng = random.Random(4)
+    calls = [(rng.choice("aaab"), rng.randrange(-40, 300) * 250_000) for _ in range(300)]
+    frame = spark.createDataFrame(calls, "key string, us long").select(
+        "key", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"))
+    frame = frame.unionByName(spark.createDataFrame([("a", None)], "key string, ts timestamp_ntz"))
+    got = metrics.rate_bursts(frame, "key", "ts", 3, 1, slots)
+    epoch = datetime(1970, 1, 1)
+    found = sorted((r.key, (r.ts - epoch) // timedelta(microseconds=1)) for r in got.collect())
+    want = []
+    for key in "ab":
+        times = sorted(us for k, us in calls if k == key)
+        want += [(key, t) for i, t in enumerate(times) if i >= 3 and t - times[i - 3] < 1_000_000]
+    assert found == sorted(want) and want
+
+
+def test_targets_asked_for_by_a_table(spark):
+    known = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3)], "target string, n int")
+    asked = spark.createDataFrame([("b",), ("c",), ("b",)], "target string")
+    assert [r.target for r in status.asked_targets(known, asked).collect()] == ["b"]

@@ -11,8 +11,12 @@ from harvestry.plans.streams import stream_session
 from harvestry.schemas import PRICED_TITLE
 from harvestry.sinks.files import stream_feed, write_feed
 from harvestry.sources.files import read_items, stream_items, stream_table
-from harvestry.streaming import boost, frontier, metrics
-from harvestry.streaming.cache import read_cache, start_cached, write_entries
+from harvestry.operators import metrics as batch_metrics
+from harvestry.operators.frontier import first_seen, url_batches
+from harvestry.session import ship_package
+from harvestry.streaming import boost, frontier, lookups, metrics
+from harvestry.streaming.cache import cache_runs, read_cache, seed_cache, start_cached
+from harvestry.streaming.runs import KeyedRuns, covering
 
 A = {"title": ["Split Business Split"], "price": [1.0]}
 B = {"title": ["Need business"], "price": [2.0]}
@@ -131,10 +135,9 @@ def test_late_items_raise_their_interval(spark, tmp_path):
 
 def test_cache_grows_with_the_stream(spark, tmp_path):
     """The second batch finds in the cache what the first one geocoded."""
-    cache, out = str(tmp_path / "cache"), str(tmp_path / "out")
-    write_entries(spark.createDataFrame(
-        [("ADDRESS_CACHE:seed", '{"lat":1.0,"lon":1.0}', 0)], "key string, value string, seq long"),
-        cache, -1)
+    cache, out = cache_runs(str(tmp_path / "cache")), str(tmp_path / "out")
+    seed_cache(cache, spark.createDataFrame(
+        [("ADDRESS_CACHE:seed", '{"lat":1.0,"lon":1.0}')], "key string, value string"))
     schema = "seq long, address array<string>, location struct<lat:double,lon:double>"
     replies = [("new", 0, json.dumps({"status": "OK", "results": [
         {"geometry": {"location": {"lat": 5.0, "lng": 6.0}}}]}))]
@@ -157,7 +160,7 @@ def test_cache_grows_with_the_stream(spark, tmp_path):
     replies.append(("other", 0, '{"status": "ZERO_RESULTS"}'))
     assert run("2.jl", (4, "new"), (5, "other")) == {
         1: "already_set", 2: "found", 3: "error", 4: "already_set", 5: "error"}
-    entries = {r.key for r in read_cache(spark, cache).collect()}
+    entries = {r.key for r in read_cache(spark, cache, before=2).collect()}
     assert entries == {"ADDRESS_CACHE:seed", "ADDRESS_CACHE:new"}
     assert read_cache(spark, cache, before=0).count() == 1
 
@@ -187,21 +190,157 @@ def test_partitioned_feed_streams(spark, tmp_path):
     assert shifts(spark, tmp_path, 1) == AFTER_B
 
 
-def test_cache_is_compacted(spark, tmp_path, monkeypatch):
-    """With a snapshot every third batch, every state of the cache is what the whole log says,
-    and a batch reads no more of the log than the batches since."""
-    from harvestry.streaming import cache
-    monkeypatch.setattr(cache, "COMPACTED", 3)
-    path, state = str(tmp_path / "cache"), {}
-    for batch in range(-1, 8):
-        if batch >= 0:
-            cache.compact(spark, path, batch)
-            seen = cache.read_cache(spark, path, before=batch)
+KEYED = "key string, value string, seen long"
+
+
+def test_runs_cover_all_batches():
+    for fan in (2, 3, 4):
+        for n in range(70):
+            held = [i for level, number in covering(n, fan)
+                    for i in range(number * fan ** level, (number + 1) * fan ** level)]
+            assert held == list(range(n))
+            assert len(covering(n, fan)) <= (fan - 1) * 7
+
+
+def test_keyed_runs_hold_each_latest_row(spark, tmp_path):
+    """Every state is right, also when a batch is repeated; folders do not grow in number."""
+    schema = spark.createDataFrame([], KEYED).schema
+    runs = KeyedRuns(str(tmp_path / "t"), schema, buckets=3, fan=2)
+    state = {}
+    for batch in range(11):
+        rows = [(f"k{batch % 3}", f"v{batch}", batch), (f"own{batch}", "x", batch)]
+        for _ in range(2 if batch % 4 == 0 else 1):
+            runs.merge(spark, batch)
+            seen = runs.before(spark, batch)
             assert {r.key: r.value for r in seen.collect()} == state
-        rows = [(f"k{batch % 3}", f"v{batch}", 1), (f"k{batch % 3}", "older", 0),
-                (f"own{batch}", "x", 0)]
-        entries = spark.createDataFrame(rows, "key string, value string, seq long")
-        cache.write_entries(entries, path, batch)
-        state |= {rows[0][0]: rows[0][1], rows[2][0]: "x"}
-    plan = cache.read_cache(spark, path, before=8)._jdf.queryExecution().executedPlan()
-    assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L >= 6", plan.toString())
+            runs.write(spark.createDataFrame(rows, schema), batch)
+        state |= {k: v for k, v, _ in rows}
+    assert len(list(tmp_path.glob("t/level=0/slot=*"))) == 4
+    assert len(list(tmp_path.glob("t/level=*/slot=*"))) <= 4 * 4
+    touched = spark.createDataFrame([("own3",), (None,)], "key string")
+    found = runs.before(spark, 11, touched)
+    assert found.where("key = 'own3'").count() == 1
+    scans = re.findall(r"PartitionFilters: \[[^]]*bucket", found._jdf.queryExecution()
+                       .executedPlan().toString())
+    assert scans
+
+
+def test_keyed_runs_without_rows_and_with_expiry(spark, tmp_path):
+    schema = spark.createDataFrame([], KEYED).schema
+    runs = KeyedRuns(str(tmp_path / "t"), schema, fan=2, age="seen", keep=10)
+    for batch, rows in enumerate([[], [("a", "x", 5)], [("b", "x", 30)], [("c", "x", 31)], []]):
+        runs.merge(spark, batch)
+        runs.write(spark.createDataFrame(rows, schema), batch)
+    assert {r.key for r in runs.before(spark, 4).collect()} == {"b", "c"}
+    assert KeyedRuns(str(tmp_path / "none"), schema).before(spark, 0).count() == 0
+
+
+@pytest.mark.parametrize("cuts", [[10], [3, 4, 10], [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]])
+def test_url_batches_wherever_the_stream_is_cut(spark, tmp_path, cuts):
+    rows = [(url, pos) for pos, url in enumerate("abacbdaefd")]
+    schema = "url string, pos long"
+    want = url_batches(first_seen(spark.createDataFrame(rows, schema)), 2, ["x", "y"])
+    batches = frontier.UrlBatches(str(tmp_path / "out"), 2, ["x", "y"], buckets=2, fan=2)
+    low = 0
+    for high in cuts:  # a run of the stream per cut: state lives over restarts
+        put(tmp_path / "in", f"{high}.jl", *[{"url": u, "pos": p} for u, p in rows[low:high]])
+        low = high
+        feed = stream_session(spark).readStream.schema(schema).json(str(tmp_path / "in"))
+        running = batches.start(feed, str(tmp_path / "c"), availableNow=True)
+        running.awaitTermination(120)
+    last = len(cuts) - 1
+    assert sorted(batches.read(spark, last).collect()) == sorted(want.collect())
+    assert batches.read(spark, last, flush=False).agg(F.min("n")).first()[0] == 2
+
+
+def test_a_repeated_micro_batch_changes_no_url_batch(spark, tmp_path):
+    batches = frontier.UrlBatches(str(tmp_path / "out"), 2, ["x"], buckets=2, fan=2)
+    frames = [spark.createDataFrame(rows, "url string, pos long") for rows in (
+        [("a", 0), ("b", 1), ("c", 2)], [("c", 3), ("d", 4)], [("e", 5)], [(None, 6), ("a", 7)])]
+    for at, frame in enumerate(frames):
+        batches.publish(frame, at)
+        batches.publish(frame, at)
+    assert [(r.batch, r.urls) for r in batches.read(spark, 3).orderBy("batch").collect()] == [
+        (1, '["a","b"]'), (2, '["c","d"]'), (3, '["e"]')]
+
+
+def test_bounded_dedup_passes_late_new_urls(spark, tmp_path):
+    seen = frontier.seen_runs(str(tmp_path / "seen"), 10, buckets=2, fan=2)
+
+    def run(name, *rows):
+        put(tmp_path / "in", name, *[{"url": u, "second": s} for u, s in rows])
+        feed = stream_session(spark).readStream.schema("url string, second long").json(
+            str(tmp_path / "in"))
+        frontier.start_bounded_dedup(feed, seen, str(tmp_path / "out"), str(tmp_path / "c"),
+                                     availableNow=True).awaitTermination(120)
+        return sorted(tuple(r)[:2] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    assert run("1", ("a", 100), ("a", 105), ("b", 100)) == [("a", 100), ("b", 100)]
+    assert run("2", ("a", 115), ("late", 1), ("b", 111)) == [
+        ("a", 100), ("b", 100), ("b", 111), ("late", 1)]
+    # "late" has expired in the merge of both batches, the others have not.
+    run("3", ("c", 112))
+    assert {r.key for r in seen.before(spark, 3).collect()} == {"a", "b", "c"}
+
+
+def lifecycle(start, end):
+    return {"begun": f"2015-01-01T00:{start}Z", "ended": f"2015-01-01T00:{end}Z"}
+
+
+def test_gauges_on_a_stream_are_corrected(spark, tmp_path):
+    schema = "begun timestamp, ended timestamp"
+    wanted = [batch_metrics.Gauge("busy", "begun", "ended"), batch_metrics.Gauge("all", "begun")]
+
+    def run():
+        items = stream_session(spark).readStream.schema(schema).json(str(tmp_path / "in"))
+        metrics.start_gauges(items, wanted, str(tmp_path / "out"), str(tmp_path / "c"), 60,
+                             availableNow=True).awaitTermination(120)
+        return sorted(map(tuple, metrics.read_gauges(spark, str(tmp_path / "out"),
+                                                     wanted).collect()))
+
+    put(tmp_path / "in", "1.jl", lifecycle("01:30", "04:30"), lifecycle("02:30", "02:40"))
+    first = run()
+    put(tmp_path / "in", "2.jl", lifecycle("00:30", "03:30"))  # late: changes past ticks
+    second = run()
+    whole = spark.read.schema(schema).json(str(tmp_path / "in"))
+    assert second == sorted(map(tuple, batch_metrics.gauges(whole, wanted, 60).collect()))
+    assert second != first and sorted(map(tuple, metrics.read_gauges(
+        spark, str(tmp_path / "out"), wanted, before=1).collect())) == first
+
+
+def reply(address, attempt, lat=None, status="OK"):
+    place = [{"geometry": {"location": {"lat": lat, "lng": 2.0}}}] if lat else []
+    return {"address": address, "attempt": attempt,
+            "body": json.dumps({"status": status, "results": place})}
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [3, 2, 1, 0], [2, 0, 3, 1]])
+def test_pending_lookups_in_any_order(spark, tmp_path, order):
+    """Items and replies in any order give what the batch gives; what nobody answers waits."""
+    ship_package(spark)
+    items = "seq long, address array<string>, location struct<lat:double,lon:double>"
+    replies = "address string, attempt int, body string"
+    parts = [
+        [{"seq": 1, "address": ["a"]}, {"seq": 2, "address": ["b"]}, {"seq": 3, "address": ["a"]}],
+        [reply("a", 1, 5.0), reply("b", 0, status="ZERO_RESULTS"), reply("c", 0, 7.0)],
+        [reply("a", 0, status="OVER_QUERY_LIMIT"), reply("a", 2, 6.0)],
+        [{"seq": 4, "address": ["a"]}, {"seq": 5, "address": ["c"]}, {"seq": 6, "address": ["d"]},
+         {"seq": 7, "address": []}, {"seq": 8, "address": ["b"], "location": {"lat": 1, "lon": 1}}]]
+    for name in ("items", "replies"):
+        (tmp_path / name).mkdir()
+    for at in order:  # a restart of the stream for each part
+        put(tmp_path / ("replies" if at in (1, 2) else "items"), f"{at}.jl", *parts[at])
+        session = stream_session(spark)
+        lookups.start_pending(
+            session.readStream.schema(items).json(str(tmp_path / "items")),
+            session.readStream.schema(replies).json(str(tmp_path / "replies")),
+            str(tmp_path / "out"), str(tmp_path / "c"), availableNow=True).awaitTermination(180)
+    got = {r.seq: (r.geo, r.location and r.location.lat)
+           for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: ("found", 5.0), 3: ("found", 5.0), 4: ("found", 5.0), 2: ("error", None),
+                   5: ("found", 7.0), 7: ("error", None), 8: ("already_set", 1.0)}
+    whole = enrich.from_replies(
+        spark.read.schema(items).json(str(tmp_path / "items")), enrich.settle_replies(
+            spark.read.schema(replies).json(str(tmp_path / "replies"))))
+    assert {r.seq: (r.geo, r.location and r.location.lat) for r in whole.collect()
+            if r.seq != 6} == got
