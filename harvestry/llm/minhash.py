@@ -262,13 +262,13 @@ def stars(sigs: DataFrame) -> DataFrame:
         F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct()
 
 
-def blocks(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between the components that meet in a bucket: every pair of members of different
-    components is verified; of a set's links into one component at least one is returned.
+def dealt(placed: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
+    """The members of the buckets (``sig``, ``id``, ``component``) that hold several components,
+    dealt over blocks ``sig``, ``room``, ``turn``, with ``visits`` and ``guest``.
 
-    Buckets with the same members are compared once. A bucket's members are residents of one
-    block each; those outside its largest component also visit all its blocks, themselves in
-    parts of bounded size."""
+    Buckets with the same members are dealt once. A bucket's members are residents of one room
+    each; those outside its largest component (guests) also visit all its rooms, themselves in
+    turns. A room and a turn hold members of about ``most`` in ``n`` (of ``sizes``)."""
     held = placed.join(sizes, "id")
     per_part = held.groupBy("sig", "component").agg(
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"),
@@ -283,39 +283,52 @@ def blocks(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -
         "sig", "tokens", F.col("main.component").alias("main"),
         (F.col("tokens") - F.col("main.tokens")).alias("guests"))).alias("b"))
     parts = store(chosen.select(
-        "b.sig", "b.main", F.ceil(F.col("b.tokens") / BLOCK_TOKENS).cast("long").alias("rooms"),
-        F.ceil(F.col("b.guests") / BLOCK_TOKENS).cast("long").alias("turns")), "minhash_buckets")
-    dealt = held.join(parts, "sig").withColumns({
+        "b.sig", "b.main", F.ceil(F.col("b.tokens") / most).cast("long").alias("rooms"),
+        F.ceil(F.col("b.guests") / most).cast("long").alias("turns")), "minhash_buckets")
+    members = held.join(parts, "sig").withColumns({
         "room": F.pmod(F.xxhash64("id"), F.col("rooms")),
         "turn": F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")),
         "guest": F.col("component") != F.col("main")})
-    stays = dealt.select("sig", "id", "component", "room", "guest", F.lit(False).alias("visits"),
-                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
-                         .alias("turn"))
-    visits = dealt.where("guest").select(
+    stays = members.select("sig", "id", "component", "room", "guest",
+                           F.lit(False).alias("visits"),
+                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
+                           .alias("turn"))
+    visits = members.where("guest").select(
         "sig", "id", "component", "turn", "guest", F.lit(True).alias("visits"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)).alias("room"))
-    rows = stays.unionByName(visits).join(sets, "id")
+    return stays.unionByName(visits)
+
+
+def blocks(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that meet in a bucket: every pair of members of different
+    components is verified; of a set's links into one component at least one is returned."""
+    rows = dealt(placed, sizes, BLOCK_TOKENS).join(sets, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, columns in _blocks_of(batches):
-            found = list(_meet(*columns, percent))
+        for block in blocks_of(batches):
+            found = list(_meet(*_arrays(block), percent))
             if found:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([a for a, _ in found], pa.int64()),
                      pa.array([b for _, b in found], pa.int64())], names=["a", "b"])
 
-    keys = ("sig", "room", "turn")
-    return rows.select(*keys, "visits", "guest", "id", "component", "tokens").repartition(
-        *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
+    return in_blocks(rows.select(*BLOCK, "visits", "guest", "id", "component", "tokens")
+                     ).mapInArrow(run, "a long, b long").distinct()
+
+
+BLOCK = ("sig", "room", "turn")
 
 
-def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """Rows of one block, which follow each other, as arrays and a list of token arrays."""
+def in_blocks(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*BLOCK).sortWithinPartitions(*BLOCK)
+
+
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each block, which follow each other; the first columns are its key."""
     held: list[pa.RecordBatch] = []
     key = None
     for batch in batches:
-        keys = np.stack([batch.column(i).to_numpy() for i in range(3)])
+        keys = np.stack([batch.column(i).to_numpy() for i in range(len(BLOCK))])
         cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(),
                 batch.num_rows]
         for low, high in zip(cuts[:-1], cuts[1:], strict=True):
@@ -323,12 +336,12 @@ def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 continue
             own = tuple(keys[:, low].tolist())
             if own != key and held:
-                yield key, _arrays(held)
+                yield held
                 held = []
             key = own
             held.append(batch.slice(low, high - low))
     if held:
-        yield key, _arrays(held)
+        yield held
 
 
 def _arrays(parts: list[pa.RecordBatch]) -> tuple:
@@ -375,6 +388,25 @@ def _meet(visits, guest, ids, component, tokens, percent) -> Iterator[tuple[int,
             yield int(ids[i]), int(ids[j])
 
 
+def contracted(component: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``component`` (a stored table of ``id``, ``component``) after the links ``pairs`` (``a``,
+    ``b``). Only components with new links are worked on; replaced tables are dropped."""
+    ends = [component.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+            for end in ("a", "b")]
+    links = store(pairs.join(ends[0], "a").join(ends[1], "b").select(
+        F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "minhash_links", free=True)
+    moved = component
+    if not links.isEmpty():
+        joined = components(links).select(F.col("id").alias("component"),
+                                          F.col("component").alias("_to"))
+        moved = store(component.join(joined, "component", "left").select(
+            "id", F.coalesce("_to", "component").alias("component")), "minhash_components",
+            free=True)
+        discard(component)
+    discard(links)
+    return moved
+
+
 def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The documents as ``sketched`` makes them, without signatures (stored), and ``d1``,
     ``d2``, ``n``, ``component`` (a number shared by all linked sets) of every distinct set."""
@@ -395,28 +427,9 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     sets = store(_sets_of(documents, classes.join(ids, "id"), size), "minhash_tokens", "id",
                  min(10_000, bucket_count(ids.count(), BUCKET)), free=True)
     component = store(ids.select("id", F.col("id").alias("component")), "minhash_components")
-
-    def merge(pairs: DataFrame) -> None:
-        """Contract the components that ``pairs`` link."""
-        nonlocal component
-        ends = [component.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
-                for end in ("a", "b")]
-        links = store(pairs.join(ends[0], "a").join(ends[1], "b").select(
-            F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "minhash_links",
-            free=True)
-        if not links.isEmpty():
-            joined = components(links).select(F.col("id").alias("component"),
-                                              F.col("component").alias("_to"))
-            moved = store(component.join(joined, "component", "left").select(
-                "id", F.coalesce("_to", "component").alias("component")), "minhash_components",
-                free=True)
-            discard(component)
-            component = moved
-        discard(links)
-
-    merge(verified(stars(sigs), sets, percent))
+    component = contracted(component, verified(stars(sigs), sets, percent))
     sizes = store(sets.select("id", F.size("tokens").cast("long").alias("n")), "minhash_sizes")
-    merge(blocks(sigs.join(component, "id"), sizes, sets, percent))
+    component = contracted(component, blocks(sigs.join(component, "id"), sizes, sets, percent))
     for table in (sigs, sets, sizes, ids):
         discard(table)
     return rows, classes.join(component, "id", "left").select(

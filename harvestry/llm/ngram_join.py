@@ -14,18 +14,18 @@ a number of errors cannot destroy must share a signature:
 * tokens found in one set only survive as they are and need no index entry.
 
 Sets equal to each other are one class from the start. Candidates are verified in stars: the
-members of a signature against one leader, in a few rounds with other leaders, each followed
-by connected components. What then still shares a signature across components is compared
-pair by pair in blocks, without emitting pairs, on parity bitmaps whose Hamming distance never
-exceeds the sets' difference; only survivors are verified on the sets. No link is lost, and
-copies of one text never make pairs.
+members of a signature against one leader each, followed by connected components. What then
+still shares a signature across components is compared pair by pair in blocks, without emitting
+pairs, on parity bitmaps whose Hamming distance never exceeds the sets' difference; a
+signature's largest component is not compared with itself, and signatures of the same members
+are compared once. Only survivors are verified on the sets. No link is lost, and copies of one
+text never make pairs.
 """
 
 from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,18 +34,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestry.llm.common import bucket_count, components
+from harvestry.llm.common import bucket_count
 from harvestry.llm.encode import forget
+from harvestry.llm.minhash import BLOCK, blocks_of, contracted, dealt, in_blocks, stars
 from harvestry.session import discard, ship_package, store
 
 #: Least document frequency of the classes indexed by 2- and 3-combinations.
 CLASSES = ((4096, 3), (64, 2))
 #: A set of 2^level to 2^(level+1) tokens deals frequent tokens into 2^level / SPREAD groups.
 SPREAD = 64
-#: Members of a signature compared in one block; rounds of stars before.
-BLOCK, ROUNDS = 256, 5
-#: Later rounds use one in so many signatures. Candidate sets in a bucket of their table.
-DRAWN, BUCKET = 4, 4000
+#: Members of a signature in one side of a block; candidate sets in a bucket of their table.
+ROOM, BUCKET = 8192, 4000
 WORDS_AT_ONCE = 700_000
 #: Rows of lists opened to Python objects at once.
 ROWS_AT_ONCE = 64
@@ -277,50 +276,25 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "a", "b")
 
 
-def stars(sigs: DataFrame, turn: int) -> DataFrame:
-    """Each member (``a``) of a signature with one leader (``b``), from another component. In
-    the first round a set leads wherever it can, so that most members meet one leader however
-    many signatures they share; later rounds draw a leader for every signature, from a share
-    of the signatures each: the blocks take whatever these rounds leave."""
-    drawn = F.xxhash64("id", F.lit(turn))
-    if turn:
-        drawn = F.xxhash64("id", "sig", F.lit(turn))
-        sigs = sigs.where(F.pmod(F.xxhash64("sig", F.lit(turn)), F.lit(DRAWN)) == 0)
-    order = F.struct(drawn.alias("h"), "id", "component")
-    lead = sigs.groupBy("sig").agg(F.min(order).alias("lead"), F.min("component").alias("low"),
-                                   F.max("component").alias("high")).where("low < high")
-    pairs = sigs.join(lead.select("sig", "lead"), "sig").where(
-        "component <> lead.component")
-    return pairs.select(F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct()
-
-
-def blocks(sigs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+def blocks(placed: DataFrame, light: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that share a signature and may link by their bitmaps."""
-    size = sigs.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("members"), F.min("component").alias("low"),
-        F.max("component").alias("high")).where("low < high")
-    dealt = sigs.join(size.select("sig", F.ceil(F.col("members") / BLOCK).alias("parts")), "sig")
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.join(light, "id").select(
-        "sig", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        F.struct("own", "id", "component", "n", "bits").alias("member"))
-    lists = dealt.groupBy("sig", "i", "j").agg(F.collect_list("member").alias("members"))
+    rows = dealt(placed, light.select("id", F.lit(1).cast("long").alias("n")), ROOM).join(
+        light, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            first, second = [], []
-            for i, j, members in zip(*(batch.column(c).to_pylist() for c in range(3)),
-                                     strict=True):
-                left = [m for m in members if m["own"] == i]
-                right = left if i == j else [m for m in members if m["own"] == j]
-                for a, b in _near(left, right, percent):
-                    first.append(min(a, b))
-                    second.append(max(a, b))
+        for block in blocks_of(batches):
+            members = pa.Table.from_batches(block).to_pylist()
+            guests = {m["id"] for m in members if m["visits"]}
+            found = [(a, b) for a, b in _near(
+                [m for m in members if m["visits"]], [m for m in members if not m["visits"]],
+                percent) if a < b or b not in guests]
+            # Two guests may meet in rooms of either: there the smaller one visits.
             yield pa.RecordBatch.from_arrays(
-                [pa.array(first, pa.int64()), pa.array(second, pa.int64())], names=["a", "b"])
+                [pa.array([min(pair) for pair in found], pa.int64()),
+                 pa.array([max(pair) for pair in found], pa.int64())], names=["a", "b"])
 
-    return lists.select("i", "j", "members").mapInArrow(run, "a long, b long").distinct()
+    return in_blocks(rows.select(*BLOCK, "visits", "id", "component", "n", "bits")).mapInArrow(
+        run, "a long, b long").distinct()
 
 
 def _near(left, right, percent):
@@ -359,35 +333,25 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     several = windows.join(df, "token").groupBy("id").agg(
         F.collect_list(F.struct("token", "df")).alias("tokens"))
     per_class = several.join(held.select(F.col("row").alias("id"), "n", "shared"), "id")
-    found = store(signatures(per_class, percent), "ngram_signatures")
+    found = store(signatures(per_class, percent), "ngram_signatures", free=True)
     alive = found.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    sigs = store(found.join(alive.select("sig"), "sig").select("sig", "id"), "ngram_index")
+    sigs = store(found.join(alive.select("sig"), "sig").select("sig", "id"), "ngram_index", free=True)
     discard(found)
     ids = store(sigs.select("id").distinct(), "ngram_candidates")
     light = store(wide.select(F.col("row").alias("id"), "n", "bits").join(ids, "id"),
-                  "ngram_bitmaps")
+                  "ngram_bitmaps", free=True)
     discard(wide)  # the windows are the bulk of what is stored
     sets = store(_sets_of(documents, classes.join(ids, "id"), size), "ngram_tokens", "id",
-                 min(10_000, bucket_count(ids.count(), BUCKET)))
-
-    links: list[DataFrame] = []
-    component = ids.select("id", F.col("id").alias("component"))
-
-    def merge(pairs: DataFrame) -> bool:
-        """Add the links among ``pairs``; whether there were any."""
-        nonlocal component
-        links.append(store(verified(pairs, sets, percent), "ngram_links"))
-        if links[-1].isEmpty():
-            return False
-        merged = components(reduce(DataFrame.unionByName, links))
-        component = store(ids.join(merged, "id", "left").select(
-            "id", F.coalesce("component", "id").alias("component")), "ngram_components")
-        return True
-
-    for turn in range(ROUNDS):
-        if not merge(_nearest(stars(sigs.join(component, "id"), turn), light, percent)) and turn:
-            break
-    merge(blocks(sigs.join(component, "id"), light, percent))
+                 min(10_000, bucket_count(ids.count(), BUCKET)), free=True)
+
+    component = store(ids.select("id", F.col("id").alias("component")), "ngram_components")
+    component = contracted(component, verified(_nearest(stars(sigs), light, percent), sets,
+                                               percent))
+    component = contracted(component, verified(
+        store(blocks(sigs.join(component, "id"), light, percent), "ngram_pairs", free=True),
+        sets, percent))
+    for table in (sigs, ids, light, sets):
+        discard(table)
     return rows, classes.join(component, "id", "left").select(
         "d1", "d2", "n", F.coalesce("component", "id").alias("component"))
 
