@@ -18,7 +18,8 @@ members of a signature against one leader each, followed by connected components
 still shares a signature across components is compared pair by pair in blocks, without emitting
 pairs, on parity bitmaps whose Hamming distance never exceeds the sets' difference; a
 signature's largest component is not compared with itself, and signatures of the same members
-are compared once. Only survivors are verified on the sets. No link is lost, and copies of one
+are compared once. In the first rounds of blocks each set only tries its nearest one, which
+joins what is left of large groups; the last round tries all pairs. Only survivors are verified on the sets. No link is lost, and copies of one
 text never make pairs.
 """
 
@@ -45,6 +46,8 @@ CLASSES = ((4096, 3), (64, 2))
 SPREAD = 64
 #: Members of a signature in one side of a block; candidate sets in a bucket of their table.
 ROOM, BUCKET = 8192, 4000
+#: Rounds of blocks in which each visitor only tries its nearest resident.
+NEAREST = 2
 WORDS_AT_ONCE = 700_000
 #: Rows of lists opened to Python objects at once.
 ROWS_AT_ONCE = 64
@@ -276,8 +279,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         "a", "b")
 
 
-def blocks(placed: DataFrame, light: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that share a signature and may link by their bitmaps."""
+def blocks(placed: DataFrame, light: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs across components that share a signature and may link by their bitmaps: all of
+    them, or of each visitor the ``nearest`` one in each block."""
     rows = dealt(placed, light.select("id", F.lit(1).cast("long").alias("n")), ROOM).join(
         light, "id")
 
@@ -285,10 +289,10 @@ def blocks(placed: DataFrame, light: DataFrame, percent: int) -> DataFrame:
         for block in blocks_of(batches):
             members = pa.Table.from_batches(block).to_pylist()
             guests = {m["id"] for m in members if m["visits"]}
+            # Two guests that visit each other meet once, where the smaller one visits.
             found = [(a, b) for a, b in _near(
                 [m for m in members if m["visits"]], [m for m in members if not m["visits"]],
-                percent) if a < b or b not in guests]
-            # Two guests may meet in rooms of either: there the smaller one visits.
+                percent, nearest) if nearest or a < b or b not in guests]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([min(pair) for pair in found], pa.int64()),
                  pa.array([max(pair) for pair in found], pa.int64())], names=["a", "b"])
@@ -297,7 +301,7 @@ def blocks(placed: DataFrame, light: DataFrame, percent: int) -> DataFrame:
         run, "a long, b long").distinct()
 
 
-def _near(left, right, percent):
+def _near(left, right, percent, nearest=False):
     sizes = sorted({len(m["bits"]) for m in left} | {len(m["bits"]) for m in right})
     for size in sizes:  # similar sets' bitmaps have the same size or one twice the other's
         near = [[m for m in side if len(m["bits"]) in (size, 2 * size)] for side in
@@ -311,8 +315,11 @@ def _near(left, right, percent):
         for at, member in enumerate(near[0]):
             apart = np.bitwise_count(maps[0][at] ^ maps[1]).sum(axis=1, dtype=np.int64)
             apart = np.maximum(apart, np.abs(n[1] - member["n"]))
-            for to in np.flatnonzero(within(member["n"], n[1], apart, percent)
-                                     & (comp[1] != member["component"])):
+            others = np.flatnonzero(within(member["n"], n[1], apart, percent)
+                                    & (comp[1] != member["component"]))
+            if nearest and len(others):
+                others = others[[np.argmin(apart[others])]]
+            for to in others:
                 yield member["id"], near[1][to]["id"]
 
 
@@ -347,9 +354,11 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     component = store(ids.select("id", F.col("id").alias("component")), "ngram_components")
     component = contracted(component, verified(_nearest(stars(sigs), light, percent), sets,
                                                percent))
-    component = contracted(component, verified(
-        store(blocks(sigs.join(component, "id"), light, percent), "ngram_pairs", free=True),
-        sets, percent))
+    for turn in range(NEAREST + 1):
+        pairs = store(blocks(sigs.join(component, "id"), light, percent, turn < NEAREST),
+                      "ngram_pairs", free=True)
+        component = contracted(component, verified(pairs, sets, percent))
+        discard(pairs)
     for table in (sigs, ids, light, sets):
         discard(table)
     return rows, classes.join(component, "id", "left").select(
