@@ -30,35 +30,49 @@ class PendingLookup(StatefulProcessor):
                                            "over boolean, lat double, lon double")
         self.settled = handle.getValueState("settled", "lat double, lon double")
 
-    def _settle(self) -> tuple | None:
-        """The reply, once it is known."""
-        attempt = 0
-        while self.attempts.containsKey((attempt,)):
-            over, lat, lon = self.attempts.getValue((attempt,))
+    def _settle(self, heard: dict[int, tuple]) -> tuple | None:
+        """The reply, once it is known; else what was heard is kept. The state is only asked
+        for attempts that are not among those just heard."""
+        attempt, asked = 0, False
+        while True:
+            if attempt in heard:
+                over, lat, lon = heard[attempt]
+            elif self.attempts.containsKey((attempt,)):
+                asked = True
+                over, lat, lon = self.attempts.getValue((attempt,))
+            else:
+                break
             if not over:
                 place = (lat, lon) if lat is not None and lon is not None else (None, None)
                 self.settled.update(place)
-                self.attempts.clear()
+                if asked or attempt:
+                    self.attempts.clear()
                 return place
             attempt += 1
+        for attempt, reply in heard.items():
+            if not self.attempts.containsKey((attempt,)):
+                self.attempts.updateValue((attempt,), reply)
         return None
 
     def handleInputRows(self, key, rows, timerValues):
         place = self.settled.get()
         for frame in rows:
             tries = frame[frame["item"].isna()]
-            for row in tries.itertuples(index=False) if place is None else ():
-                known = [None if pd.isna(v) else float(v) for v in (row.lat, row.lon)]
-                if not self.attempts.containsKey((int(row.attempt),)):
-                    self.attempts.updateValue((int(row.attempt),), (bool(row.over), *known))
             items = frame.loc[frame["item"].notna(), "item"].tolist()
             if place is None:
-                if items:
+                heard: dict[int, tuple] = {}
+                for row in tries.itertuples(index=False):
+                    known = [None if pd.isna(v) else float(v) for v in (row.lat, row.lon)]
+                    heard.setdefault(int(row.attempt), (bool(row.over), *known))
+                place = self._settle(heard) if heard else None
+                if place is None and items:
                     self.waiting.appendList([(item,) for item in items])
-                place = self._settle()
-                items = [item for item, in self.waiting.get()] if place is not None else []
-                if items:
-                    self.waiting.clear()
+                    items = []
+                elif place is not None:
+                    waited = [item for item, in self.waiting.get()]
+                    if waited:
+                        self.waiting.clear()
+                    items = waited + items
             if items:
                 yield answered(items, place)
 
