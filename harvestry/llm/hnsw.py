@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a hierarchical navigable small-world graph per shard.
 
-Equal vectors are one node, which keeps the smallest ids of its rows: a search for k
+Equal vectors are one node, which keeps its rows of the smallest ids: a search for k
 neighbours never needs more than k + 1 of them. Nodes are dealt into shards by a hash of the
 vector; each shard's graph is built by one task and stored as flat arrays: vectors, a
 neighbour array of fixed width per layer, and the nodes of the upper layers. Queries run
@@ -180,23 +180,22 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors ** 2).sum(axis=1, keepdims=True))
 
 
-def nodes(embeddings: DataFrame, k: int) -> DataFrame:
-    """A row per distinct usable vector: ``node``, ``embedding``, ``ids`` (the k + 1 smallest
-    of its rows') and ``dims``. Zero vectors and vectors with null or non-finite components
-    take no part. A vector of many rows is cut down per salt before it meets in one task."""
-    usable = embeddings.where(is_finite("embedding") & F.exists(
-        "embedding", lambda x: x != 0)).select(F.col("vec_id").cast("long"), "embedding")
-    usable = store(usable, "ann_vectors")
+def nodes(usable: DataFrame, k: int) -> DataFrame:
+    """A row per distinct vector of ``usable`` (a stored table of ``row``, ``vec_id``,
+    ``embedding``): ``node``, ``embedding``, ``rows`` (the k + 1 smallest of its rows as
+    ``vec_id``, ``row``; null ids first) and ``dims``. A vector of many rows is cut down per
+    salt before it meets in one task."""
     salts = bucket_count(usable.count(), 10_000)
 
-    def smallest(ids):
-        return F.slice(F.sort_array(ids), 1, k + 1)
+    def smallest(rows):
+        return F.slice(F.sort_array(rows), 1, k + 1)
 
-    first = usable.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(salts))).groupBy(
-        "embedding", "salt").agg(smallest(F.collect_list("vec_id")).alias("ids"))
+    first = usable.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(salts))).groupBy(
+        "embedding", "salt").agg(
+        smallest(F.collect_list(F.struct("vec_id", "row"))).alias("rows"))
     merged = first.groupBy("embedding").agg(
-        smallest(F.flatten(F.collect_list("ids"))).alias("ids"))
-    return store(merged.select(F.monotonically_increasing_id().alias("node"), "embedding", "ids",
+        smallest(F.flatten(F.collect_list("rows"))).alias("rows"))
+    return store(merged.select(F.monotonically_increasing_id().alias("node"), "embedding", "rows",
                                F.size("embedding").alias("dims")), "ann_nodes")
 
 
@@ -266,26 +265,31 @@ def cosine_of(a: np.ndarray, b: np.ndarray) -> float:
 
 def search(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``k`` nearest found of every row whose
-    vec_id is divisible by ``every``, by cosine, ties to the smaller vec_id.
-
-    Rows are told apart by vec_id: rows repeating an id and vector count once. Fewer
-    candidates are all returned (small shards are searched whole); vectors of another
-    dimension are no candidates; other columns are not read."""
-    distinct = nodes(embeddings.where("vec_id is not null").select(
-        "vec_id", "embedding").dropDuplicates(["vec_id", "embedding"]), k)
+    vec_id is divisible by ``every``, by cosine, ties to the smaller vec_id (null first).
+
+    A query's own row is no candidate, every other one is: rows that repeat its id or vector and
+    rows of a null id too, and each row of a repeated id is a query with a list of its own. Zero
+    vectors and vectors with null or non-finite components take no part. Fewer candidates are
+    all returned (small shards are searched whole); vectors of another dimension are no
+    candidates; other columns are not read."""
+    usable = store(embeddings.where(is_finite("embedding") & F.exists(
+        "embedding", lambda x: x != 0)).select(
+        F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long"), "embedding"),
+        "ann_vectors")
+    distinct = nodes(usable, k)
     index = store(build_index(distinct), "ann_index")
-    asked = embeddings.where(F.col("vec_id") % every == 0).select(
-        F.col("vec_id").cast("long").alias("query_id"), "embedding").distinct()
+    asked = usable.where(F.col("vec_id") % every == 0).select(
+        F.col("row").alias("query_row"), F.col("vec_id").alias("query_id"), "embedding")
     asked = store(asked.join(distinct.select("embedding", "node"), "embedding").select(
-        "query_id", F.col("node").alias("query")), "ann_queries")
+        "query_row", "query_id", F.col("node").alias("query")), "ann_queries")
     wanted = distinct.join(asked.select(F.col("query").alias("node")).distinct(), "node")
     hits = search_index(index, wanted, distinct, k)
-    # Cut to what a query can use before its nodes are opened to ids.
+    # Cut to what a query can use before its nodes are opened to rows.
     near = Window.partitionBy("query").orderBy(F.desc("score"), "low")
-    hits = hits.join(distinct.select("node", "ids", F.col("ids")[0].alias("low")), "node")
+    hits = hits.join(distinct.select("node", "rows", F.col("rows")[0].alias("low")), "node")
     hits = hits.withColumn("place", F.row_number().over(near)).where(F.col("place") <= k + 1)
     opened = asked.join(hits, "query").select(
-        "query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        "query_row", "query_id", "score", F.inline("rows")).where("row <> query_row")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     return opened.withColumn("rank", F.row_number().over(order)).where(
         F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

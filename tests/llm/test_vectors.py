@@ -125,7 +125,40 @@ def test_no_vectors(spark):
     assert hnsw.search(frame(spark, []).limit(0)).collect() == []
     assert hnsw.search(frame(spark, [(50, [0.0, 0.0]), (100, None)])).collect() == []
     both = hnsw.search(frame(spark, [(50, [1.0, 0.0]), (50, [1.0, 0.0]), (51, [2.0, 0.0])]))
-    assert [tuple(r) for r in both.collect()] == [(50, 1, 51, 1.0)]
+    assert [tuple(r) for r in both.collect()] == [(50, 1, 50, 1.0), (50, 2, 51, 1.0)] * 2
+
+
+def test_every_row_but_the_query_is_a_candidate(spark):
+    rows = [(50, [1.0, 0.0]), (50, [0.9, 0.1]), (None, [1.0, 0.01]), (51, [0.0, 1.0]),
+            (None, [1.0, 0.01])]
+    at = [(i, np.array(v, np.float32).astype(np.float64)) for i, v in rows]
+    want = []
+    for q in (0, 1):
+        near = sorted((-hnsw.cosine_of(at[q][1], y), -1 if i is None else i)
+                      for place, (i, y) in enumerate(at) if place != q)
+        want.append([(50, rank, None if i < 0 else i, -s)
+                     for rank, (s, i) in enumerate(near, 1)])
+    got = [tuple(r) for r in hnsw.search(frame(spark, rows)).collect()]
+    lists = [got[at:at + 4] for at in range(0, len(got), 4)]
+    assert len(got) == 8 and sorted(lists, key=repr) == sorted(want, key=repr)
+
+
+def test_recall_over_several_full_shards(spark):
+    """Three shards of over 8,000 nodes, in dense clusters of near-equal vectors."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(60, 16))
+    x = centres[rng.integers(0, 60, 24_500)] + 0.05 * rng.normal(size=(24_500, 16))
+    held = spark.createDataFrame(
+        [(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    found = {(r["query_id"], r["vec_id"]) for r in hnsw.search(held, every=350).collect()}
+    y, hits, total = hnsw.unit(x), 0, 0
+    for q in range(0, len(y), 350):
+        near = y @ y[q]
+        near[q] = -2
+        hits += sum((q, int(j)) in found for j in np.argsort(-near)[:5])
+        total += 5
+    print("recall", hits / total)
+    assert hits >= 0.9 * total
 
 
 def test_large_components_are_exact_or_an_error(spark):
