@@ -64,10 +64,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1,
-          codec: str | None = None, free: bool = False) -> DataFrame:
+          codec: str | None = None, free: bool = False, placed: bool = False) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read that: for results several sinks
     use, each reading only its columns. With ``bucket`` the table is bucketed by that column,
-    so that joins on it do not shuffle the table. ``codec`` compresses other than the session does.
+    so that joins on it do not shuffle the table; ``placed`` says that ``df`` is partitioned by it
+    into so many parts already. ``codec`` compresses other than the session does.
     With ``free`` the shuffle files of the write go as it ends, not when the driver happens to
     collect its garbage. ``discard`` deletes the table again."""
     spark = df.sparkSession
@@ -75,7 +76,7 @@ def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1
         before = spark.conf.get(FREE_SHUFFLES, None)
         spark.conf.set(FREE_SHUFFLES, "true")
         try:
-            return store(df, label, bucket, buckets, codec)
+            return store(df, label, bucket, buckets, codec, placed=placed)
         finally:
             if before is None:
                 spark.conf.unset(FREE_SHUFFLES)
@@ -87,7 +88,8 @@ def store(df: DataFrame, label: str, bucket: str | None = None, buckets: int = 1
     name = f"{database}.{re.sub('[^a-z0-9]', '_', label.lower())}_{uuid.uuid4().hex}"
     options = {"compression": codec} if codec else {}
     if bucket:
-        df.repartition(buckets, bucket).write.format("parquet").options(**options).bucketBy(
+        rows = df if placed else df.repartition(buckets, bucket)
+        rows.write.format("parquet").options(**options).bucketBy(
             buckets, bucket).saveAsTable(name)
     else:
         df.write.format("parquet").options(**options).saveAsTable(name)
