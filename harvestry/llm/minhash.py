@@ -284,7 +284,8 @@ def dealt(placed: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
         (F.col("tokens") - F.col("main.tokens")).alias("guests"))).alias("b"))
     parts = store(chosen.select(
         "b.sig", "b.main", F.ceil(F.col("b.tokens") / most).cast("long").alias("rooms"),
-        F.ceil(F.col("b.guests") / most).cast("long").alias("turns")), "minhash_buckets")
+        F.ceil(F.col("b.guests") / most).cast("long").alias("turns")), "minhash_buckets",
+        free=True)
     members = held.join(parts, "sig").withColumns({
         "room": F.pmod(F.xxhash64("id"), F.col("rooms")),
         "turn": F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")),
