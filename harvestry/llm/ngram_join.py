@@ -329,7 +329,7 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     wide = store(shingled(documents, size, percent), "ngram_sets")
     rows = store(wide.drop("bits", "window", "shared"), "ngram_rows")
     classes = store(rows.where("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min("row").alias("id"), F.min("doc_id").alias("doc_id")), "ngram_classes")
+        F.min("row").alias("id"), F.min("doc_id").alias("doc_id")), "ngram_classes", free=True)
     # Below 9 tokens nothing but an equal set is similar enough at 90; in general, the
     # smallest sum of sizes that allows a difference of one.
     least = -(-(100 + percent) // (100 - percent)) // 2 if percent < 100 else 1 << 62
@@ -344,12 +344,13 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     alive = found.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     sigs = store(found.join(alive.select("sig"), "sig").select("sig", "id"), "ngram_index", free=True)
     discard(found)
-    ids = store(sigs.select("id").distinct(), "ngram_candidates")
+    ids = store(sigs.select("id").distinct(), "ngram_candidates", free=True)
     light = store(wide.select(F.col("row").alias("id"), "n", "bits").join(ids, "id"),
                   "ngram_bitmaps", free=True)
     discard(wide)  # the windows are the bulk of what is stored
-    sets = store(_sets_of(documents, classes.join(ids, "id"), size), "ngram_tokens", "id",
-                 min(10_000, bucket_count(ids.count(), BUCKET)), free=True)
+    buckets = min(10_000, bucket_count(ids.count(), BUCKET))
+    sets = store(_sets_of(documents, classes.join(ids, "id"), size, buckets), "ngram_tokens",
+                 "id", buckets, free=True, placed=True)
 
     component = store(ids.select("id", F.col("id").alias("component")), "ngram_components")
     component = contracted(component, verified(_nearest(stars(sigs), light, percent), sets,
@@ -408,25 +409,32 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
                                                            documents.columns])
 
 
-def _sets_of(documents: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """The sets of classes, made again from the text of one of their documents."""
+def _sets_of(documents: DataFrame, classes: DataFrame, size: int, buckets: int) -> DataFrame:
+    """The sets of classes, made again from the text of one of their documents, partitioned by
+    ``id``."""
     wanted = classes.select(F.col("doc_id").alias("name"), "id", "d1", "d2")
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("name"))).select(
         "id", "d1", "d2", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for batch in batches:
             own, found = [], []
+            names = batch.column(0).to_pylist()
             for at, tokens in enumerate(shingle_sets(batch.column(3), size)):
+                if names[at] in seen:
+                    continue
                 digest = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), np.int64)
                 if (batch.column(1)[at].as_py(), batch.column(2)[at].as_py()) == tuple(
                         digest.tolist()):
+                    seen.add(names[at])
                     own.append(at)
                     found.append(_signed(tokens))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(own, pa.int64())),
                  pa.array(found, pa.list_(pa.int64()))], names=["id", "tokens"])
 
-    # Rows that repeat an id and its text would bring a class's set again.
-    return held.mapInArrow(run, "id long, tokens array<long>").dropDuplicates(["id"])
+    # Rows that repeat an id and its text bring a class's set again: once per task, then once.
+    return held.mapInArrow(run, "id long, tokens array<long>").repartition(
+        buckets, "id").dropDuplicates(["id"])
