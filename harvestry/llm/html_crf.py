@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -51,12 +52,20 @@ ATTRIBUTE = re.compile(
     r"(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
-Path = tuple[tuple[str, frozenset], ...]
+
+@dataclass(slots=True, eq=False)
+class Place:
+    """A block-level element by its parent, so that elements share what they stand in. ``new``
+    holds the path features that the parent's path does not have."""
+    parent: Place | None
+    tag: str
+    words: frozenset
+    new: tuple[str, ...]
 
 
 @dataclass(slots=True)
 class Block:
-    path: Path
+    path: Place | None
     text: str
     linked: int  # characters inside links
 
@@ -78,21 +87,34 @@ def words_of(attributes: str) -> frozenset:
     return frozenset(found)
 
 
+def element_features(tag: str, words: frozenset, opened: Counter) -> list[str]:
+    """What an element adds to the features of a path, given the open elements."""
+    found = ["t:" + tag, *("w:" + w for w in words)]
+    if tag in ("header", "aside") and opened["article"]:
+        found.append("inner:" + tag)
+    if tag == "article":
+        found += ["inner:" + outer for outer in ("header", "aside") if opened[outer]]
+    return found
+
+
 def leaf_blocks(page: str) -> list[Block]:
     """The leaf blocks with text, in page order. Character references are decoded, white space
     becomes one space, ends are trimmed. Any markup is accepted; what is left open at the end
-    is closed."""
+    is closed. Time and memory are in proportion to the page, however deep its elements stand."""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset]] = []
+    stack: list[tuple[str, Place | None]] = []  # open elements, and the place inside them
+    opened: Counter = Counter()  # open elements by tag
+    scopes: list[Counter] = [Counter()]  # the same, since each open one of STOPS
+    seen: Counter = Counter()  # path features of the open elements
     parts: list[str] = []
-    linked = unseen = links = at = 0
+    linked = unseen = at = 0
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text and not unseen:
-                blocks.append(Block(tuple(x for x in stack if x[0] not in INLINE), text, linked))
+                blocks.append(Block(stack[-1][1] if stack else None, text, linked))
             parts.clear()
         linked = 0
 
@@ -101,17 +123,37 @@ def leaf_blocks(page: str) -> list[Block]:
         if raw and not unseen:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if links:
+            if opened["a"]:
                 linked += len(text)
 
+    def open_(name: str, words: frozenset) -> None:
+        nonlocal unseen
+        place = stack[-1][1] if stack else None
+        if name not in INLINE:
+            new = element_features(name, words, opened)
+            place = Place(place, name, words, tuple(f for f in new if not seen[f]))
+            seen.update(place.new)
+        stack.append((name, place))
+        opened[name] += 1
+        unseen += name in UNSEEN
+        scopes[-1][name] += 1
+        if name in STOPS:
+            scopes.append(Counter())
+
     def close(place: int) -> None:
-        nonlocal unseen, links
+        """Close the open elements from ``place`` on."""
+        nonlocal unseen
         if any(name not in INLINE for name, _ in stack[place:]):
             flush()
-        for name, _ in stack[place:]:
+        while len(stack) > place:
+            name, inside = stack.pop()
+            if name in STOPS:
+                scopes.pop()
+            opened[name] -= 1
+            scopes[-1][name] -= 1
             unseen -= name in UNSEEN
-            links -= name == "a"
-        del stack[place:]
+            if name not in INLINE:
+                seen.subtract(inside.new)
 
     while at < len(page):
         found = TOKEN.search(page, at)
@@ -122,13 +164,13 @@ def leaf_blocks(page: str) -> list[Block]:
         end, start, attributes = found.groups()
         if end:
             end = end.lower()
-            for place in range(len(stack) - 1, -1, -1):
-                if stack[place][0] == end:
-                    close(place)
-                    break
-            else:
-                if end not in INLINE:
-                    flush()
+            if opened[end]:
+                place = len(stack) - 1
+                while stack[place][0] != end:
+                    place -= 1
+                close(place)
+            elif end not in INLINE:
+                flush()
         elif start:
             start = start.lower()
             if start == "br" or start == "wbr":
@@ -137,24 +179,22 @@ def leaf_blocks(page: str) -> list[Block]:
             if start not in INLINE:
                 flush()
                 ends = {"p"} if start not in CLOSES else CLOSES[start] | {"p"}
-                for place in range(len(stack) - 1, -1, -1):
-                    if stack[place][0] in STOPS:
-                        break
-                    if stack[place][0] in ends:
-                        flush()
-                        close(place)
+                # All of them since the last of STOPS: what is walked over is closed.
+                left, place = sum(scopes[-1][name] for name in ends), len(stack)
+                while left:
+                    place -= 1
+                    left -= stack[place][0] in ends
+                close(place)
             if start in RAW:
                 stop = re.compile(rf"</{re.escape(start)}(?=[\s/>])|\Z", re.I).search(page, at)
                 if start == "title":
-                    stack.append((start, frozenset()))
+                    open_(start, frozenset())
                     add(page[at:stop.start()])
                     close(len(stack) - 1)
                 at = stop.start()
                 continue
             if start not in VOID and not (attributes.endswith("/") and start in UNSEEN):
-                stack.append((start, words_of(attributes) if attributes else frozenset()))
-                unseen += start in UNSEEN
-                links += start == "a"
+                open_(start, words_of(attributes) if attributes else frozenset())
     if at < len(page):
         add(page[at:])
     flush()
@@ -169,19 +209,19 @@ HINTS = {
 ENDS = tuple(".!?…:;\"'”»)")
 
 
-def path_features(path: Path) -> set[str]:
-    found = set()
-    for tag, words in path:
-        found.add("t:" + tag)
-        found.update("w:" + w for w in words)
-        if tag in ("header", "aside") and any(t == "article" for t, _ in path):
-            found.add("inner:" + tag)
-    if path:
-        found.add("own:" + path[-1][0])
-        found.update("ownw:" + w for w in path[-1][1])
+def path_features(path: Place | None) -> set[str]:
+    found = set(own_features(path))
+    while path:
+        found.update(path.new)
+        path = path.parent
     return found
 
 
+def own_features(path: Place | None) -> tuple[str, ...]:
+    """Of the innermost element alone."""
+    return ("own:" + path.tag, *("ownw:" + w for w in path.words)) if path else ()
+
+
 def text_features(block: Block) -> tuple[str, ...]:
     """Bucketed features of a block's text."""
     words = block.text.count(" ") + 1
@@ -209,13 +249,27 @@ class Chain:
             self.known[key] = (sum(f[0] for f in found), sum(f[1] for f in found))
         return self.known[key]
 
+    def _path_sum(self, path: Place | None, sums: dict) -> tuple[float, float]:
+        """Of a path's features; ``sums`` holds those of the places met in a page."""
+        waiting, place = [], path
+        while place and place not in sums:
+            waiting.append(place)
+            place = place.parent
+        total = sums[place] if place else (0.0, 0.0)
+        for place in reversed(waiting):
+            more = self._sum(place.new, lambda p=place: p.new)
+            total = sums[place] = (total[0] + more[0], total[1] + more[1])
+        own = own_features(path)
+        more = self._sum(own, lambda: own)
+        return total[0] + more[0], total[1] + more[1]
+
     def labels(self, blocks: list[Block]) -> list[int]:
         """The best labelling, by Viterbi."""
-        back, best = [], (0.0, 0.0)
+        back, best, sums = [], (0.0, 0.0), {}
         (same0, to1), (to0, same1) = self.turns
         for at, block in enumerate(blocks):
             own = text_features(block)
-            place = self._sum(block.path, lambda b=block: path_features(b.path))
+            place = self._path_sum(block.path, sums)
             form = self._sum(own, lambda o=own: o)
             if at:
                 from0, from1 = best[0] + same0, best[1] + to0

@@ -1,8 +1,9 @@
 """Line deduplication: lines whose normal form stands in many documents are dropped.
 
-Lines are exploded as hashes of their keys, distinct documents are counted per hash, and
-each text is reassembled by position from the lines that stay. Texts are shuffled once;
-everything else that moves is 16-byte hashes. Built-in functions only.
+Lines are exploded as hashes of their keys with their places, distinct documents are counted
+per hash, and each text is reassembled by position from the lines that stay. Texts are shuffled once;
+everything else that moves is 16-byte hashes and places. Built-in functions only. Time is
+in proportion to the lines, in one long document too (but for sorting its hashes).
 """
 
 from __future__ import annotations
@@ -39,9 +40,8 @@ def drop_common_lines(documents: DataFrame, min_docs: int = 10, min_chars: int =
     becomes the empty text. Keys of at least ``min_chars`` code points found in at least
     ``min_docs`` rows lose all their lines in every row. A row counts once for a key
     however often it repeats it; rows repeated in the table count as separate documents.
-    ``key`` only spreads
-    copies of one text over tasks; it may be null or repeat. Other columns pass unchanged, except columns named like the two added ones, which are
-    replaced. A document that loses all its lines keeps its row with an empty text.
+    ``key`` only spreads copies of one text over tasks; it may be null or repeat. Other
+    columns pass unchanged, except columns named like the two added ones, which are replaced. A document that loses all its lines keeps its row with an empty text.
     """
     row = documents.select(
         F.struct(*[F.col(f"`{name}`") for name in documents.columns]).alias("row"),
@@ -50,22 +50,30 @@ def drop_common_lines(documents: DataFrame, min_docs: int = 10, min_chars: int =
         F.col(f"row.`{key}`").alias("id"), F.xxhash64("text").alias("a"),
         F.xxhash64(F.lit("text"), "text").alias("b")))
     lines = F.split("text", "\n", -1)
-    found = row.select("copy", F.explode(F.array_distinct(F.transform(
-        lines, lambda line: _key_hash(line, min_chars)))).alias("hash"))
+    # In the order of their hashes, equal lines of a document are neighbours: the first one
+    # counts the document. Sorting keeps the work of a long document near its length.
+    hashes = F.sort_array(F.filter(F.transform(lines, lambda line, at: F.struct(
+        _key_hash(line, min_chars).alias("hash"), at.alias("at"))),
+        lambda line: line["hash"].isNotNull()))
+    found = row.select("copy", hashes.alias("hashes")).select("copy", F.explode(F.transform(
+        "hashes", lambda line, at: F.struct(
+            line["hash"].alias("hash"), line["at"].alias("at"),
+            (~F.get("hashes", at - 1)["hash"].eqNullSafe(line["hash"])).alias("first")))
+    ).alias("line"))
     # Normalising lines is the cost here: once, for the counts and for what is lost.
-    found = store(found.where("hash is not null"), "line_keys")
+    found = store(found.select("copy", "line.*"), "line_keys")
     # Written, so that the join shuffles plain rows and a line of many documents is split.
-    common = store(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+    common = store(found.groupBy("hash").agg(F.count_if("first").alias("n"))
                    .where(F.col("n") >= min_docs).select("hash"), "common_lines")
-    # Rows of one id and text lose the same lines, so the pair identifies what they lose.
+    # Rows of one id and text lose the same places, so the pair identifies what they lose.
     lost = (found.join(common, "hash").groupBy("copy")
-            .agg(F.collect_set("hash").alias("lost")))
+            .agg(F.collect_set("at").alias("lost")))
     split = row.join(lost, row["copy"].eqNullSafe(lost["copy"]), "left").select(
         "row", lines.alias("lines"), "lost")
-    kept = F.when(F.col("lost").isNull(), F.col("lines")).otherwise(F.filter(
-        "lines", lambda line: ~F.coalesce(
-            F.array_contains("lost", _key_hash(line, min_chars)), F.lit(False))))
-    split = split.withColumn("kept", kept)
+    split = split.withColumn("places", F.when(F.col("lost").isNotNull(), F.array_except(
+        F.sequence(F.lit(0), F.size("lines") - 1), "lost")))
+    split = split.withColumn("kept", F.when(F.col("lost").isNull(), F.col("lines")).otherwise(
+        F.transform("places", lambda at: F.get("lines", at))))
     added = ("n_lines", "n_dropped")
     return split.select(
         *[F.array_join("kept", "\n").alias(text) if name == text

@@ -26,22 +26,24 @@ def query(sql: str | None = None):
 
 
 LINES_SQL = r"""
-WITH split AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS document, doc_id, text FROM documents),
+split AS (
+  SELECT document, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
+  FROM numbered),
 keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
   FROM split),
 common AS (
   SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key
-  HAVING count(DISTINCT doc_id) >= 10)
+  HAVING count(DISTINCT document) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(common.key) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos)
                        FILTER (WHERE common.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN common USING (key)
-GROUP BY doc_id
+GROUP BY document, doc_id
 """
 
 

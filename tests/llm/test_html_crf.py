@@ -1,7 +1,10 @@
 """Page extraction: parsing, Viterbi against all labellings, held-out layouts, hand-made pages."""
 
+import gc
 import itertools
 import random
+import time
+import tracemalloc
 
 import pytest
 from hypothesis import given, settings
@@ -47,6 +50,49 @@ def test_long_pages_in_linear_time():
     html_crf.leaf_blocks("<p>word word</p>" * 50_000)
 
 
+@pytest.mark.parametrize("unit", [
+    "<ul><li>x", "<div>x", "<p>x<div>", "<table><tr><td>x", "<div class='a b'>x</span></q>", "<b>x",
+    "<article><header>x", "<li>x<select>"])
+def test_deep_pages_in_linear_time_and_memory(unit):
+    def cost(times):
+        gc.collect()
+        tracemalloc.start()
+        began = time.process_time()
+        blocks = html_crf.leaf_blocks(unit * times)
+        labels = MODEL.labels(blocks)
+        taken, held = time.process_time() - began, tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(labels) == len(blocks)
+        return taken, held
+
+    cost(100)
+    few, many = cost(5_000), cost(50_000)
+    assert many[0] < 30 * few[0] + 1 and many[1] < 20 * few[1] + 1_000_000
+
+
+def plain_path(names):
+    """Features of a path from its (tag, words), outermost first."""
+    found = {f"t:{tag}" for tag, _ in names} | {f"w:{w}" for _, words in names for w in words}
+    if "article" in [tag for tag, _ in names]:
+        found |= {f"inner:{tag}" for tag, _ in names if tag in ("header", "aside")}
+    if names:
+        found |= {f"own:{names[-1][0]}"} | {f"ownw:{w}" for w in names[-1][1]}
+    return found
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(
+    ["<article>", "</article>", "<header class=top>", "</header>", "<aside>", "<div class='a b'>",
+     "</div>", "<ul>", "</ul>", "<li>", "<p>", "<b>", "</b>", "x", "<td>", "<table>"]), max_size=30))
+def test_path_features_by_new_ones_equal_whole_paths(tags):
+    for block in html_crf.leaf_blocks("".join(tags) + "x"):
+        names, place = [], block.path
+        while place:
+            names.insert(0, (place.tag, place.words))
+            place = place.parent
+        assert html_crf.path_features(block.path) == plain_path(names)
+
+
 def test_viterbi_finds_the_best_labelling():
     rng = random.Random(3)
     blocks = html_crf.training_pages(1, 5)[0][0][:8]
@@ -106,8 +152,8 @@ def test_rows(spark):
 def test_hints_late_in_a_block():
     long_ = "word " * 60
     for hint, name in (("all rights reserved", "rights"), ("cookies", "consent")):
-        assert name in html_crf.text_features(html_crf.Block((), long_ + hint, 0))
-    assert "act" not in html_crf.text_features(html_crf.Block((), long_ + "search", 0))
+        assert name in html_crf.text_features(html_crf.Block(None, long_ + hint, 0))
+    assert "act" not in html_crf.text_features(html_crf.Block(None, long_ + "search", 0))
 
 
 def test_formulas_are_inline_text():
