@@ -53,6 +53,8 @@ def shard_top_k(vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, queries:
     """(query, place in ``vectors``, score) of each query's ``k`` best in a shard, ties to the
     smaller id; a query's own row is left out. Integer inputs; a score beyond a long is an
     error."""
+    if not vectors.shape[1]:  # all products are 0, as those with a component of 0
+        vectors, queries = (np.zeros((len(x), 1), np.int64) for x in (vectors, queries))
     lengths = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1))
     order = np.lexsort((rows, ids, -lengths))
     vectors, ids, rows, lengths = (x[order] for x in (vectors, ids, rows, lengths))
@@ -118,15 +120,21 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, shard_rows: int =
     ship_package(vectors.sparkSession)
     shards = bucket_count(vectors.count(), shard_rows)
     parts = bucket_count(queries.count(), query_rows)
-    vectors = vectors.select("row", "vec_id", "vector", F.size("vector").alias("dims"), F.pmod(
-        F.xxhash64("row"), F.lit(shards)).alias("shard"), F.explode(F.sequence(
-            F.lit(0), F.lit(parts - 1))).alias("part"))
-    queries = queries.select("row", "vec_id", "vector", F.size("vector").alias("dims"), F.pmod(
-        F.xxhash64("row"), F.lit(parts)).alias("part"), F.explode(F.sequence(
-            F.lit(0), F.lit(shards - 1))).alias("shard"))
+
+    def dealt(rows: DataFrame, own: str, groups: int, other: str, others: int) -> DataFrame:
+        # The keys have one type on both sides: an int and a long of one value hash apart. The
+        # columns are new ones, as both sides may read one table.
+        return rows.select(
+            *[F.col(name).alias(name) for name in ("row", "vec_id", "vector")],
+            F.size("vector").alias("dims"),
+            F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias(own),
+            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other))
+
+    vectors = dealt(vectors, "shard", shards, "part", parts)
+    queries = dealt(queries, "part", parts, "shard", shards)
 
     def run(held: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if not (len(held) and len(asked)) or not held["dims"].iloc[0]:
+        if not (len(held) and len(asked)):
             return pd.DataFrame({n.split()[0]: pd.Series([], dtype="int64")
                                  for n in RESULT.split(", ")})
         # A null id sorts before all others.

@@ -70,6 +70,32 @@ def test_repeated_rows_and_few_candidates(spark):
     assert alone.collect() == []
 
 
+def test_top_k_of_shards_that_meet_in_separate_tasks(spark):
+    """Vectors and queries of a shard meet whatever the number of partitions they are dealt to,
+    and also where only the rows are counted."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "11")
+    rows = [(i, v) for i, v in vectors(4) if v is not None and len(v) == 16]
+    held = store(session.createDataFrame(rows, "vec_id long, embedding array<float>").where(
+        topk.is_finite("embedding")).select(F.monotonically_increasing_id().alias("row"), "vec_id",
+                                            topk.quantised("embedding").alias("vector")), "t")
+    found = topk.top_k(held, held.where("vec_id % 50 = 0"), 10, 37, 3)
+    whole = [(i, np.floor(1024 * v).astype(np.int64)) for i, v in usable(rows)]
+    want = []
+    for q, x in whole:
+        if q % 50 == 0:
+            near = sorted((-int(x @ y), i) for i, y in whole if i != q)
+            want += [(q, place + 1, i, -s) for place, (s, i) in enumerate(near[:10])]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+    assert found.count() == len(want)
+
+
+def test_empty_vectors_take_part(spark):
+    found = topk.search(frame(spark, [(0, []), (3, []), (2, []), (100, [1.0]), (4, None)]))
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 1, 2, 0), (0, 2, 3, 0)]
+
+
 def test_graph_search(spark):
     rng = np.random.default_rng(2)
     rows = vectors(3) + [(2000 + i, v.tolist()) for i, v in enumerate(
