@@ -13,6 +13,7 @@ rewrites the same folders.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -82,10 +83,7 @@ class KeyedRuns:
 
     def merge(self, spark: SparkSession, batch: int) -> None:
         """Call ahead of ``batch``."""
-        level = 1
-        while batch and batch % self.fan ** level == 0:
-            number = batch // self.fan ** level - 1
-            children = [(level - 1, number * self.fan + i) for i in range(self.fan)]
+        for level, number, children in self._due(batch):
             rows = self._read(spark, children)
             if self.age:
                 # The children's own latest moment: never ahead of the stream's.
@@ -94,8 +92,19 @@ class KeyedRuns:
             else:
                 rows = self._latest(rows)
             self._write(rows.select(*self._columns(), BATCH), level, number)
+
+    def _due(self, batch: int) -> Iterator[tuple[int, int, list[tuple[int, int]]]]:
+        """Level and number of the runs to merge ahead of ``batch``, and the runs they are of."""
+        level = 1
+        while batch and batch % self.fan ** level == 0:
+            number = batch // self.fan ** level - 1
+            yield level, number, [(level - 1, number * self.fan + i) for i in range(self.fan)]
             level += 1
 
+    def written(self, spark: SparkSession, batch: int) -> DataFrame:
+        """The rows of ``batch`` itself."""
+        return self._read(spark, [(0, batch)]).select(*self._columns())
+
     def before(self, spark: SparkSession, batch: int,
                touched: DataFrame | None = None) -> DataFrame:
         """Each key's latest row ahead of ``batch``; with ``touched`` (a column of the keys'
@@ -106,3 +115,32 @@ class KeyedRuns:
                 self.bucket(self.key)).distinct().collect()]  # at most one row per bucket
             rows = rows.where(F.col(BUCKET).isin(wanted))
         return self._latest(rows).select(*self._columns())
+
+
+@dataclass(frozen=True)
+class RunLog(KeyedRuns):
+    """Runs that hold every row of their batches, any number per key, until the key is done.
+
+    ``deal``, a long column, spreads a bucket's rows over ``files`` files, so that a common key
+    is not written by one task."""
+
+    deal: str | None = None
+    files: int = 1
+
+    def _write(self, rows: DataFrame, level: int, number: int) -> None:
+        spread = [F.pmod(F.col(self.deal), F.lit(self.files))] if self.deal else []
+        (rows.withColumn(BUCKET, self.bucket(self.key)).repartition(BUCKET, *spread)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy(BUCKET).parquet(self.folder(level, number)))
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return rows
+
+    def merge(self, spark: SparkSession, batch: int, done: KeyedRuns) -> None:
+        """Call ahead of ``batch``, after ``done.merge``. Rows whose key has come into ``done``
+        (of the same batches and ``fan``) since they were written are left out: a key that is
+        done gets no more rows."""
+        for level, number, children in self._due(batch):
+            rows = self._read(spark, children).join(
+                done._read(spark, children).select(self.key), self.key, "left_anti")
+            self._write(rows.select(*self._columns(), BATCH), level, number)

@@ -344,3 +344,55 @@ def test_pending_lookups_in_any_order(spark, tmp_path, order):
             spark.read.schema(replies).json(str(tmp_path / "replies"))))
     assert {r.seq: (r.geo, r.location and r.location.lat) for r in whole.collect()
             if r.seq != 6} == got
+
+
+def test_pending_lookups_of_many_addresses_ask_no_state_one_by_one(spark, tmp_path):
+    """30,000 addresses in two micro-batches: a call per address and batch would take minutes."""
+    ship_package(spark)
+    n = 30_000
+    name = F.concat(F.lit("a"), F.col("id").cast("string"))
+    items = spark.range(n).select(F.col("id").alias("seq"), F.array(name).alias("address"), F.lit(
+        None).cast("struct<lat:double,lon:double>").alias("location"))
+    body = F.format_string('{"status": "OK", "results": [{"geometry": {"location": '
+                           '{"lat": %d, "lng": 2}}}]}', "id")
+    replies = spark.range(n).select(name.alias("address"), F.lit(0).alias("attempt"),
+                                    body.alias("body"))
+    for rows, folder in ((items, "items"), (replies, "replies")):
+        rows.repartition(2).write.parquet(str(tmp_path / folder))
+    session = stream_session(spark)
+    running = lookups.start_pending(
+        stream_table(session, str(tmp_path / "items"), items.schema, files_per_trigger=1),
+        stream_table(session, str(tmp_path / "replies"), replies.schema, files_per_trigger=1),
+        str(tmp_path / "out"), str(tmp_path / "c"), availableNow=True)
+    done = running.awaitTermination(90)
+    running.stop()
+    assert done
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == got.where("location.lat = seq and geo = 'found'").select(
+        "seq").distinct().count() == n
+
+
+def test_pending_state_over_merges_and_repeated_batches(spark, tmp_path):
+    """A repeated batch answers the same; what is answered leaves merged runs; each copy of an
+    item is answered."""
+    items = spark.createDataFrame(
+        [(at, [f"a{at % 5}"], None) for at in [*range(20), 12]],
+        "seq long, address array<string>, location struct<lat:double,lon:double>")
+    # The first reply to a3 never comes, nobody answers a4.
+    parts = [(0, "a0", 1, 1.0), (0, "a1", 0, 2.0), (1, "a0", 0, None), (1, "a2", 2, 3.0),
+             (2, "a2", 0, None), (3, "a2", 1, None), (3, "a3", 1, 4.0)]
+    answers = spark.createDataFrame(
+        [{**reply(a, n, lat, "OK" if lat else "OVER_QUERY_LIMIT"), "turn": at}
+         for at, a, n, lat in parts], "address string, attempt int, body string, turn int")
+    state = lookups.pending_runs(str(tmp_path / "state"), items.schema, buckets=2, fan=2)
+    got = []
+    for batch, times in enumerate((1, 1, 2, 1)):
+        events = lookups.pending_events(items.where(F.col("seq") % 4 == batch),
+                                        answers.where(F.col("turn") == batch).drop("turn"))
+        runs = [sorted((r.seq, r.location.lat) for r in lookups.serve(
+            events, state, batch, 2).collect()) for _ in range(times)]
+        assert runs[0] == runs[-1]
+        got += runs[0]
+    assert sorted(got) == sorted((at, at % 5 + 1.0) for at in [*range(20), 12] if at % 5 < 3)
+    merged = state.waiting._read(spark, [(1, 0)])
+    assert {r.address for r in merged.collect()} == {"a2", "a3", "a4"}
