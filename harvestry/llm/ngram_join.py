@@ -7,10 +7,10 @@ a number of errors cannot destroy must share a signature:
 * the order puts the tokens whose hash falls in a fixed share of the hash space first, by
   document frequency, and the others after them by hash; so frequencies are counted for that
   share only, while the guarantee holds for whole sets;
-* rare tokens are signatures by themselves; tokens of frequent classes are dealt into small
-  groups by hash and indexed by their k-combinations within a group. A group of n prefix
-  tokens survives n - k errors, so the prefix is extended until the classes together survive
-  tau + 1;
+* rare tokens are signatures by themselves, one for each level of sizes; tokens of frequent
+  classes are dealt into small groups by hash and indexed by their k-combinations within a
+  group. A group of n prefix tokens survives n - k errors, so the prefix is extended until the
+  classes together survive tau + 1;
 * tokens found in one set only survive as they are and need no index entry.
 
 Sets equal to each other are one class from the start. Candidates are verified in stars: the
@@ -19,8 +19,10 @@ still shares a signature across components is compared pair by pair in blocks, w
 pairs, on parity bitmaps whose Hamming distance never exceeds the sets' difference; a
 signature's largest component is not compared with itself, and signatures of the same members
 are compared once. In the first rounds of blocks each set only tries its nearest one, which
-joins what is left of large groups; the last round tries all pairs. Only survivors are verified on the sets. No link is lost, and copies of one
-text never make pairs.
+joins what is left of large groups; the last round tries all pairs. A signature none of whose
+members tries another has no pair left, as components only merge: later rounds pass it over.
+Only survivors are verified on the sets. No link is lost, and copies of one text never make
+pairs.
 """
 
 from __future__ import annotations
@@ -184,7 +186,8 @@ def text_hash():
 
 def _prefix(tokens, frequency, shared: int, n: int, percent: int, level: int):
     """Signatures of one set at a level: ``tokens`` are those of its window found in several
-    windows, ``frequency`` in how many, ``shared`` its tokens in the ordered share."""
+    windows, ``frequency`` in how many, ``shared`` its tokens in the ordered share. The level
+    is part of each, so that sets of far sizes do not meet."""
     edge = share_edge(percent)
     ordered = sorted((t >= edge, f if t < edge else 0, t, f)
                      for t, f in zip(tokens, frequency, strict=True))
@@ -202,13 +205,12 @@ def _prefix(tokens, frequency, shared: int, n: int, percent: int, level: int):
             group = held.setdefault((k, (token >> 8) % count), [])
             group.append(token)
             covered += len(group) >= k
-    for (k, _), group in held.items():
-        if k == 1:
-            yield group[0]
-        else:
-            for combination in itertools.combinations(sorted(group), k):
-                yield int(mixed([np.array([x], np.uint64)
-                                 for x in (level, *combination)])[0])
+    for size in {k for k, _ in held}:
+        found = [c for (k, _), group in held.items() if k == size
+                 for c in itertools.combinations(sorted(group), k)]
+        if found:
+            columns = np.array(found, np.uint64).T
+            yield from mixed([np.full(len(found), level, np.uint64), *columns]).tolist()
 
 
 def signatures(frequent: DataFrame, percent: int) -> DataFrame:
@@ -281,7 +283,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def blocks(placed: DataFrame, light: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs across components that share a signature and may link by their bitmaps: all of
-    them, or of each visitor the ``nearest`` one in each block."""
+    them, once each, or of each visitor the ``nearest`` one in each block, with its ``sig``."""
     rows = dealt(placed, light.select("id", F.lit(1).cast("long").alias("n")), ROOM).join(
         light, "id")
 
@@ -294,11 +296,13 @@ def blocks(placed: DataFrame, light: DataFrame, percent: int, nearest: bool) ->
                 [m for m in members if m["visits"]], [m for m in members if not m["visits"]],
                 percent, nearest) if nearest or a < b or b not in guests]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([min(pair) for pair in found], pa.int64()),
-                 pa.array([max(pair) for pair in found], pa.int64())], names=["a", "b"])
+                [pa.array([members[0]["sig"]] * len(found), pa.int64()),
+                 pa.array([min(pair) for pair in found], pa.int64()),
+                 pa.array([max(pair) for pair in found], pa.int64())], names=["sig", "a", "b"])
 
-    return in_blocks(rows.select(*BLOCK, "visits", "id", "component", "n", "bits")).mapInArrow(
-        run, "a long, b long").distinct()
+    pairs = in_blocks(rows.select(*BLOCK, "visits", "id", "component", "n", "bits")).mapInArrow(
+        run, "sig long, a long, b long")
+    return pairs if nearest else pairs.select("a", "b").distinct()
 
 
 def _near(left, right, percent, nearest=False):
@@ -323,6 +327,16 @@ def _near(left, right, percent, nearest=False):
                 yield member["id"], near[1][to]["id"]
 
 
+def _still(sigs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """What ``sigs`` (a stored table, dropped) has of the signatures of ``pairs``."""
+    # Written, so that the join shuffles plain rows and a large signature is split.
+    tried = store(pairs.select("sig").distinct(), "ngram_tried", free=True)
+    left = store(sigs.join(tried, "sig", "left_semi"), "ngram_index", free=True)
+    discard(tried)
+    discard(sigs)
+    return left
+
+
 def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows as ``shingled`` makes them (stored), and ``d1``, ``d2``, ``n``, ``component``
     (a number shared by all linked sets) of every distinct set."""
@@ -348,9 +362,12 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     light = store(wide.select(F.col("row").alias("id"), "n", "bits").join(ids, "id"),
                   "ngram_bitmaps", free=True)
     discard(wide)  # the windows are the bulk of what is stored
-    buckets = min(10_000, bucket_count(ids.count(), BUCKET))
-    sets = store(_sets_of(documents, classes.join(ids, "id"), size, buckets), "ngram_tokens",
-                 "id", buckets, free=True, placed=True)
+    # Of fewer buckets than shuffle partitions Spark would shuffle the table for each join.
+    buckets = min(10_000, max(bucket_count(ids.count(), BUCKET), int(
+        documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    made, placed = _sets_of(documents, classes.join(ids, "id"), size, buckets)
+    sets = store(placed, "ngram_tokens", "id", buckets, free=True, placed=True)
+    discard(made)
 
     component = store(ids.select("id", F.col("id").alias("component")), "ngram_components")
     component = contracted(component, verified(_nearest(stars(sigs), light, percent), sets,
@@ -358,7 +375,10 @@ def linked(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, Da
     for turn in range(NEAREST + 1):
         pairs = store(blocks(sigs.join(component, "id"), light, percent, turn < NEAREST),
                       "ngram_pairs", free=True)
-        component = contracted(component, verified(pairs, sets, percent))
+        component = contracted(component, verified(pairs.select("a", "b").distinct(), sets,
+                                                   percent))
+        if turn < NEAREST:
+            sigs = _still(sigs, pairs)
         discard(pairs)
     for table in (sigs, ids, light, sets):
         discard(table)
@@ -409,9 +429,10 @@ def keep_one(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFram
                                                            documents.columns])
 
 
-def _sets_of(documents: DataFrame, classes: DataFrame, size: int, buckets: int) -> DataFrame:
-    """The sets of classes, made again from the text of one of their documents, partitioned by
-    ``id``."""
+def _sets_of(documents: DataFrame, classes: DataFrame, size: int,
+             buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The sets of classes, made again from the text of one of their documents: as a stored
+    table, and from it partitioned by ``id``."""
     wanted = classes.select(F.col("doc_id").alias("name"), "id", "d1", "d2")
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     held = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("name"))).select(
@@ -435,6 +456,7 @@ def _sets_of(documents: DataFrame, classes: DataFrame, size: int, buckets: int)
                 [batch.column(0).take(pa.array(own, pa.int64())),
                  pa.array(found, pa.list_(pa.int64()))], names=["id", "tokens"])
 
+    # Written, so that the texts' shuffle goes before the sets are shuffled.
+    made = store(held.mapInArrow(run, "id long, tokens array<long>"), "ngram_made", free=True)
     # Rows that repeat an id and its text bring a class's set again: once per task, then once.
-    return held.mapInArrow(run, "id long, tokens array<long>").repartition(
-        buckets, "id").dropDuplicates(["id"])
+    return made, made.repartition(buckets, "id").dropDuplicates(["id"])

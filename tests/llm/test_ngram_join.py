@@ -108,6 +108,63 @@ def test_large_group_of_near_copies(spark):
     assert joined(spark, rows) == plain_components(rows)
 
 
+def groups_and_passages(seed=3):
+    """Near copies that link step by step, and other texts that only share passages."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(4):
+        base = [f"w{rng.randrange(5000)}" for _ in range(120)]
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(rng.choice([1, 2, 3, 4])):
+                copy[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+            rows.append(" ".join(copy))
+    for _ in range(10):
+        passage = [f"p{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [" ".join([f"y{rng.randrange(10**6)}" for _ in range(60)] + passage)
+                 for _ in range(8)]
+    return list(enumerate(rows))
+
+
+def test_later_rounds_pass_settled_signatures_over(spark, monkeypatch):
+    dealt, blocks = [], ngram_join.blocks
+
+    def counted(placed, *others):
+        dealt.append(placed.count())
+        return blocks(placed, *others)
+
+    monkeypatch.setattr(ngram_join, "blocks", counted)
+    rows = groups_and_passages()
+    assert joined(spark, rows) == plain_components(rows)
+    assert len(dealt) == ngram_join.NEAREST + 1
+    assert dealt[0] > dealt[1] >= dealt[2]
+
+
+def test_sets_are_shuffled_once(spark, monkeypatch):
+    plans, verified = [], ngram_join.verified
+
+    def planned(*args):
+        found = verified(*args)
+        plans.append(found._jdf.queryExecution().executedPlan().toString())
+        return found
+
+    monkeypatch.setattr(ngram_join, "verified", planned)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = corpus(6)[:100]
+        assert joined(spark, rows) == plain_components(rows)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plans and all(p.count("Bucketed: true") == 2 for p in plans)
+
+
+def test_far_sizes_share_no_signature():
+    tokens, counts = [1 << 40, 1 << 41], [2, 2]
+    near, far = ({*ngram_join._prefix(tokens, counts, 2, n, 90, n.bit_length() - 1)}
+                 for n in (10, 1000))
+    assert near and far and not near & far
+
+
 def test_no_rows(spark):
     assert joined(spark, []) == []
 
