@@ -262,14 +262,13 @@ def stars(sigs: DataFrame) -> DataFrame:
         F.col("id").alias("a"), F.col("lead.id").alias("b")).distinct()
 
 
-def dealt(placed: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
-    """The members of the buckets (``sig``, ``id``, ``component``) that hold several components,
-    dealt over blocks ``sig``, ``room``, ``turn``, with ``visits`` and ``guest``.
+def dealt(held: DataFrame, most: int) -> DataFrame:
+    """The members of the buckets (``sig``, ``id``, ``component``, ``n``) that hold several
+    components, dealt over blocks ``sig``, ``room``, ``turn``, with ``visits`` and ``guest``.
 
     Buckets with the same members are dealt once. A bucket's members are residents of one room
     each; those outside its largest component (guests) also visit all its rooms, themselves in
-    turns. A room and a turn hold members of about ``most`` in ``n`` (of ``sizes``)."""
-    held = placed.join(sizes, "id")
+    turns. A room and a turn hold members of about ``most`` in ``n``."""
     per_part = held.groupBy("sig", "component").agg(
         F.count(F.lit(1)).alias("members"), F.sum("n").alias("tokens"),
         F.bit_xor(F.xxhash64("id")).alias("print"),
@@ -290,20 +289,21 @@ def dealt(placed: DataFrame, sizes: DataFrame, most: int) -> DataFrame:
         "room": F.pmod(F.xxhash64("id"), F.col("rooms")),
         "turn": F.pmod(F.xxhash64("id", F.lit(1)), F.col("turns")),
         "guest": F.col("component") != F.col("main")})
-    stays = members.select("sig", "id", "component", "room", "guest",
-                           F.lit(False).alias("visits"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1))
-                           .alias("turn"))
-    visits = members.where("guest").select(
-        "sig", "id", "component", "turn", "guest", F.lit(True).alias("visits"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1)).alias("room"))
-    return stays.unionByName(visits)
+    # One pass over the members: as resident of its room in all turns, as guest in all rooms.
+    places = F.transform(F.sequence(F.lit(0).cast("long"), F.col("turns") - 1),
+                         lambda turn: F.struct("room", turn.alias("turn"),
+                                               F.lit(False).alias("visits")))
+    visits = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rooms") - 1),
+                         lambda room: F.struct(room.alias("room"), "turn",
+                                               F.lit(True).alias("visits")))
+    return members.select("sig", "id", "component", "guest", F.inline(
+        F.when(F.col("guest"), F.concat(places, visits)).otherwise(places)))
 
 
 def blocks(placed: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between the components that meet in a bucket: every pair of members of different
     components is verified; of a set's links into one component at least one is returned."""
-    rows = dealt(placed, sizes, BLOCK_TOKENS).join(sets, "id")
+    rows = dealt(placed.join(sizes, "id"), BLOCK_TOKENS).join(sets, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):

@@ -284,8 +284,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def blocks(placed: DataFrame, light: DataFrame, percent: int, nearest: bool) -> DataFrame:
     """Pairs across components that share a signature and may link by their bitmaps: all of
     them, once each, or of each visitor the ``nearest`` one in each block, with its ``sig``."""
-    rows = dealt(placed, light.select("id", F.lit(1).cast("long").alias("n")), ROOM).join(
-        light, "id")
+    rows = dealt(placed.withColumn("n", F.lit(1).cast("long")), ROOM).join(light, "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks_of(batches):

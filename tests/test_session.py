@@ -45,3 +45,9 @@ def test_cut_and_stored_frames_keep_rows_and_schema(spark):
     for kept in (cut_lineage(frame), store(frame, "t")):
         assert kept.schema.simpleString() == frame.schema.simpleString()
         assert sorted(kept.collect()) == sorted(frame.collect())
+
+
+def test_tables_after_the_first_run_no_statement(spark, monkeypatch):
+    store(spark.range(1), "t")
+    monkeypatch.setattr(type(spark), "sql", lambda *a, **b: pytest.fail("a statement ran"))
+    assert store(spark.range(5), "t").count() == 5
